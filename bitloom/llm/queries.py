@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_items
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
+from .token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +28,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path
+    return token_counts(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
+    "op8_token_counts": op8_token_counts,
 }
 
 SQL = {
