@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_items
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
+from .quality_rules import quality_rules
 from .token_counts import token_counts
 
 
@@ -35,11 +36,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 SQL = {
