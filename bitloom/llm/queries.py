@@ -10,6 +10,7 @@ from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
 from .quality_rules import quality_rules
 from .token_counts import token_counts
+from .warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,11 +50,21 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }
 
 SQL = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+        SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+               list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + CAST((CAST('0x' || substr(p.h, 1 + 5 * (k // 4), 5) AS BIGINT) >> (5 * (3 - k % 4))) & 31 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM p JOIN f USING (h)""",
     "op1_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
