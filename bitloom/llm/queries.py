@@ -10,8 +10,11 @@ from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
 from .quality_rules import quality_rules
 from .token_counts import token_counts
+from .url_filter import url_filter
 from .warc import round_trip
 
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +49,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), RULES)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -53,9 +60,39 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_url_filter": op10_url_filter,
 }
 
 SQL = {
+    "op10_url_filter": r"""
+        WITH RECURSIVE p AS (
+            SELECT page_id, url, html,
+                   coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+                   regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest FROM pages
+        ), r(verdict, rule) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')
+        ), fits AS (
+            SELECT page_id, r.* FROM p JOIN r ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+                AND starts_with(path, substr(rule, 1 + length(split_part(rule, '/', 1))))
+        ), best AS (SELECT page_id, arg_max(rule, (length(rule), verdict = 'allow')) AS rule, arg_max(verdict, (length(rule), verdict = 'allow')) AS verdict FROM fits GROUP BY 1
+        ), judged AS (SELECT p.*, CASE WHEN host <> '' THEN host || CASE WHEN rest = '' THEN '/' ELSE rest END END AS node, rule, verdict FROM p LEFT JOIN best USING (page_id)
+        ), tags AS (
+            SELECT node, url, regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS target
+            FROM (SELECT node, url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS t FROM judged)
+            WHERE lower(regexp_extract(t, '(?is)\brel\s*=\s*["'']?([^"''\s>]*)', 1)) = 'canonical'
+            UNION ALL
+            SELECT node, url, regexp_extract(t, '(?is)url\s*=\s*[''"]?([^"''\s>]+)', 1)
+            FROM (SELECT node, url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>')) AS t FROM judged)
+        ), full_urls AS (
+            SELECT node AS a, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
+                WHEN starts_with(target, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || target
+                ELSE regexp_replace(regexp_extract(url, '^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1, 's'), '([^/])$', '\1/') || target END AS u FROM tags WHERE target <> ''
+        ), ends AS (
+            SELECT a, translate(regexp_extract(u, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h, regexp_extract(u, '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest FROM full_urls
+        ), one AS (SELECT a, h || CASE WHEN rest = '' THEN '/' ELSE rest END AS b FROM ends WHERE a IS NOT NULL AND h <> ''
+        ), edge AS (SELECT a, b FROM one UNION SELECT b, a FROM one
+        ), caught AS (SELECT node FROM judged WHERE verdict = 'block' UNION SELECT b FROM caught JOIN edge ON edge.a = caught.node)
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN node IN (SELECT node FROM caught) THEN 'block' ELSE 'allow' END) AS verdict FROM judged""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
         f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
