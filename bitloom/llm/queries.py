@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_items
+from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
 from .quality_rules import quality_rules
@@ -29,6 +30,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_license_scan": op3_license_scan,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
