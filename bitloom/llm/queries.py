@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_items
+from .html_extract import html_extract
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
@@ -34,6 +35,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_license_scan": op3_license_scan,
+    "op4_html_extract": op4_html_extract,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
