@@ -95,6 +95,27 @@ class Items:
         return found
 
 
+    def hits(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, int]]:
+        """(row, item, found shingles) of each verified pair."""
+        for i, j, texts in scan(column):
+            sh, at = shingles(*texts.words(), self.size)
+            for t, m in sorted(self.candidates(sh, at)):
+                k = int(np.isin(self.sets[m], sh[at[t] : at[t + 1]]).sum())
+                if k >= threshold * len(self.sets[m]) - 1e-9:
+                    yield i + t, m, k
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str, size: int, perms: int, block: int) -> Iterator:
+    """Broadcast signatures of at most about ``block`` items at a time."""
+    parts = max(1, -(-items.count() // block))
+    for part in range(parts):
+        rows = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
+        if parts > 1:
+            rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
+        rows = rows.collect()
+        yield items.sparkSession.sparkContext.broadcast(Items([r.id for r in rows], pa.array([r.text for r in rows], pa.string()), size, perms))
+
+
 def find_items(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
     size: int = 5, threshold: float = 0.8, perms: int = 32, block: int = 20_000,
@@ -108,45 +129,42 @@ def find_items(
     not searched; null and empty texts contain nothing.  Repeated rows of a text
     or of an item give repeated results.  Other columns are ignored.
 
-    The items are dealt into blocks of at most ``block`` rows, whose signatures
+    The items are dealt into blocks of about ``block`` rows, whose signatures
     (some 5 kB each for 32 permutations, so 100 MB) go to every task; more items
     mean more passes over the texts, not larger broadcasts.  Recall of an item
     at containment 0.8: 1 - 0.75**perms = 0.9999 or more.
     """
-    spark = docs.sparkSession
-    tune(spark)
-    parts = max(1, -(-items.count() // block))
+    tune(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, item_id long, n_shingles long, n_found long"
     out = None
-    for part in range(parts):
-        rows = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
-        if parts > 1:
-            rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
-        rows = rows.collect()
-        known = spark.sparkContext.broadcast(Items([r.id for r in rows], pa.array([r.text for r in rows], pa.string()), size, perms))
+    for known in _blocks(items, item_id, item_text, size, perms, block):
 
         def search(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             bench = known.value
             for batch in batches:
-                hits = []
-                for i, j, texts in scan(batch.column(1)):
-                    sh, at = shingles(*texts.words(), size)
-                    at_word = at
-                    for t, m in sorted(bench.candidates(sh, at)):
-                        own = np.unique(sh[at_word[t] : at_word[t + 1]])
-                        k = int(np.isin(bench.sets[m], own, assume_unique=True).sum())
-                        if k >= threshold * len(bench.sets[m]) - 1e-9:
-                            hits.append((batch.column(0)[i + t].as_py(), bench.ids[m], len(bench.sets[m]), k))
-                if hits:
+                ids = batch.column(0)
+                if hits := [(ids[t].as_py(), bench.ids[m], len(bench.sets[m]), k) for t, m, k in bench.hits(batch.column(1), threshold)]:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*hits)], names=["id", "item_id", "n_shingles", "n_found"])
 
-        found = source.mapInArrow(search, schema)
+        found = source.mapInArrow(search, "id long, item_id long, n_shingles long, n_found long")
         out = found if out is None else out.union(found)
     return out.select(F.col("id").alias(id_col), "item_id", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the texts that contain an item (all rows of such an id go; null ids stay)."""
-    hit = find_items(docs, items, id_col, text_col, **how).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col] == hit["_hit"], "left_anti")
+def decontaminate(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    size: int = 5, threshold: float = 0.8, perms: int = 32, block: int = 20_000,
+) -> DataFrame:
+    """The rows of docs, all columns, whose text contains no item as find_items() defines it; no shuffle."""
+    tune(docs.sparkSession)
+    at = docs.columns.index(text_col)
+    for known in _blocks(items, item_id, item_text, size, perms, block):
+
+        def keep(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[t for t, _, _ in known.value.hits(batch.column(at), threshold)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

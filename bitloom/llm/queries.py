@@ -10,6 +10,7 @@ from .html_extract import html_extract
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
+from .packing import pack, word_count
 from .quality_rules import quality_rules
 from .token_counts import token_counts
 from .url_filter import url_filter
@@ -39,6 +40,11 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", word_count().alias("length"))
+    return pack(docs, F.col("length")).select("doc_id", "n_tokens", "bucket", "bucket_len", "batch", "slot")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_license_scan": op3_license_scan,
     "op4_html_extract": op4_html_extract,
+    "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
