@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
-import regex
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -36,29 +36,36 @@ def _carry(base: int) -> set[str]:
 
 
 INITIALS = set(LETTERS).union(OWN_LETTERS, *map(_carry, BLOCKS))
-_KEPT = frozenset(TITLES) | INITIALS
-_BOUND = regex.compile(rf"(?P<marks>[{regex.escape(MARKS)}]+)\s+|\n+")
-_SHORT = regex.compile(r"[A-Z]|[^\s.\d]+(?:\.[^\s.\d]+)+")
-_LAST = regex.compile(r"\S*\Z")
+_HELD = frozenset(TITLES) | INITIALS
+_SHORT = re.compile(r"[A-Z]|[^\s.\d]+(?:\.[^\s.\d]+)+")
+_RUN = re.compile(rf"[{re.escape(MARKS)}]+\Z")
 
 
-def _goes_on(piece: str, text: str, after: int) -> bool:
-    """Whether a sentence goes on past a single period: after a title, an initial or an abbreviation, or before a lower-case letter."""
-    word = _LAST.search(piece.rstrip()).group().lstrip(OPENERS)
-    return word in _KEPT or _SHORT.fullmatch(word) is not None or text[after : after + 1].islower()
+def _breaks(word: str, before: str, gap: str, after: str) -> bool:
+    """Whether the gap after a word ends a sentence; before: the word ahead of it in the sentence, if any.
+
+    Any run of marks does, and a line end after a word without marks.  A single
+    period does not after a title, an initial or an abbreviation, nor ahead of a
+    lower-case letter; it then holds even a line end.
+    """
+    run = _RUN.search(word)
+    if run is None:
+        return "\n" in gap
+    if run.group() != ".":
+        return True
+    stem = (word[:-1] or before).lstrip(OPENERS)
+    return not (stem in _HELD or _SHORT.fullmatch(stem) or after[:1].islower())
 
 
 def sentences_of(text: str | None) -> list[str]:
-    """Pieces between sentence marks followed by space, or line ends; those of one character or without a word are dropped."""
-    pieces, begin = [], 0
-    for m in _BOUND.finditer(text or ""):
-        if m["marks"] == "." and _goes_on(text[begin : m.start()], text, m.end()):
-            continue
-        pieces.append(text[begin : m.end("marks") if m["marks"] else m.start()])
-        begin = m.end()
-    pieces.append((text or "")[begin:])
-    stripped = map(str.strip, pieces)
-    return [p for p in stripped if len(p) > 1 and any(c.isalnum() or c == "_" for c in p)]
+    """Sentences of more than one character with a word in them; a null text has none."""
+    words, gaps = (re.split(r"(\s+)", text or "")[k::2] for k in (0, 1))
+    cuts = [0]
+    for k, gap in enumerate(gaps):
+        if _breaks(words[k], words[k - 1] if k > cuts[-1] else "", gap, words[k + 1]):
+            cuts.append(k + 1)
+    spans = ("".join(x for pair in zip(words[i:j], [*gaps[i : j - 1], ""]) for x in pair).strip() for i, j in zip(cuts, [*cuts[1:], len(words)]))
+    return [s for s in spans if len(s) > 1 and re.search(r"\w", s)]
 
 
 @F.pandas_udf(ArrayType(StringType()))
