@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_items
 from .html_extract import html_extract
-from .license_scan import license_scan
+from .license_scan import PHRASES, TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
 from .packing import pack, word_count
@@ -82,7 +82,30 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
+_TEMPLATES = ", ".join(f"('{label}', '{family}', list_distinct(string_split('{text}', ' ')))" for label, family, text in TEMPLATES)
+_PHRASES = ", ".join(f"('{label}', string_split('{phrase}', ' '))" for label, phrase in PHRASES)
+
 SQL = {
+    # Every window against every template, without the filters of the join.
+    "op3_license_scan": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+        ), t(label, family, tokens) AS (VALUES {_TEMPLATES}), p(label, ws) AS (VALUES {_PHRASES}
+        ), places AS (
+            SELECT r, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1 : i + len(ws)] = ws)) AS place FROM d, p
+        ), base AS (SELECT r, count(*) AS n, min(place) AS a, max(place) AS b, list(DISTINCT label) AS l FROM places GROUP BY r
+        ), windows AS (
+            SELECT r, i, w[i + 1 : i + 64] AS own FROM (SELECT r, w, unnest(range(0, greatest(len(w) - 32, 1), 32)) AS i FROM d)
+        ), shared AS (
+            SELECT r, i, label, family, len(tokens) AS n, len(list_intersect(own, tokens)) AS k FROM windows, t WHERE list_has_any(own, tokens)
+        ), best AS (
+            SELECT r, i, family, arg_max(label, (k / n, n, label)) AS label, max(k / n) AS score FROM shared WHERE k >= ceil(0.85 * n - 1e-9) GROUP BY ALL
+        ), more AS (SELECT r, list(DISTINCT label) AS l, max(score) AS score FROM best GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(base.n, 0) AS n_base, a AS first_word, b AS last_word, array_to_string(list_sort(coalesce(base.l, [])), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(more.l, [])))), ',') AS labels,
+               CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(more.score, 0.0) END::DOUBLE AS score
+        FROM d LEFT JOIN base USING (r) LEFT JOIN more USING (r)""",
     "op10_url_filter": r"""
         WITH RECURSIVE p AS (
             SELECT page_id, url, html,
