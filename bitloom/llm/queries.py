@@ -84,8 +84,31 @@ QUERIES = {
 
 _TEMPLATES = ", ".join(f"('{label}', '{family}', list_distinct(string_split('{text}', ' ')))" for label, family, text in TEMPLATES)
 _PHRASES = ", ".join(f"('{label}', string_split('{phrase}', ' '))" for label, phrase in PHRASES)
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"list_filter(string_split_regex({_LOW}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_GRAMS = "list_distinct(list_transform(range(0, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))"
 
 SQL = {
+    # Every two classes that share a shingle, exactly.
+    "op2_ngram_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents
+        ), c AS (SELECT w, min(doc_id) AS copy_id, count(*) AS n_copies FROM d WHERE len(w) > 0 AND doc_id IS NOT NULL GROUP BY w
+        ), x AS (SELECT copy_id, len(g) AS n, unnest(g) AS g FROM (SELECT copy_id, {_GRAMS} AS g FROM c)
+        ), p AS (
+            SELECT a.copy_id AS a, b.copy_id AS b FROM x a JOIN x b ON a.g = b.g AND a.copy_id <> b.copy_id
+            GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+        ), reach AS (SELECT copy_id AS node, copy_id AS low FROM c UNION SELECT p.b, low FROM reach JOIN p ON p.a = reach.node
+        ), classes AS (SELECT node, min(low) AS class_id FROM reach GROUP BY node
+        ), links AS (SELECT a, count(*) AS k FROM p GROUP BY a)
+        SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(copy_id, doc_id) AS copy_id, coalesce(n_copies, 1) AS n_copies, coalesce(k, 0) AS n_links
+        FROM d LEFT JOIN c ON c.w = d.w AND doc_id IS NOT NULL LEFT JOIN classes ON node = copy_id LEFT JOIN links ON a = copy_id""",
+    "op6_decontamination": f"""
+        WITH i AS (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS w FROM benchmark
+        ), d AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents
+        ), ig AS (SELECT i, item_id, len(g) AS n, unnest(g) AS g FROM (SELECT i, item_id, {_GRAMS} AS g FROM i WHERE len(w) >= 5)
+        ), dg AS (SELECT d, doc_id, unnest({_GRAMS}) AS g FROM d)
+        SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found, count(*) / n AS containment FROM ig JOIN dg USING (g)
+        GROUP BY d, doc_id, i, item_id, n HAVING count(*) >= 0.8 * n - 1e-9""",
     # Every window against every template, without the filters of the join.
     "op3_license_scan": rf"""
         WITH d AS (
