@@ -84,3 +84,11 @@ def test_chrf_and_wilson(spark):
     lo, hi = spark.range(1).select(wilson(F.lit(45), F.lit(200)).alias("w")).first()["w"]
     assert (round(lo, 2), round(hi, 2)) == (17.26, 28.77)
     assert tuple(spark.range(1).select(wilson(F.lit(0), F.lit(0)).alias("w")).first()["w"]) == (0.0, 0.0)
+
+
+def test_sql_names(spark):
+    from bitloom.functions.register import register
+
+    assert register(spark) == ["redact", "ascii_digits", "in_script", "sentences", "chrf"]
+    row = spark.sql("SELECT redact('to a@b.gov.in, 7827170170') AS r, ascii_digits('২3') AS d, in_script('hi', 'भारत') AS s, in_script('zz', 'x') AS u, sentences('One. Two.') AS p, chrf('ab', 'ab') AS c").first()
+    assert tuple(row) == ("to <email>, <phone>", "23", True, None, ["One.", "Two."], 100.0)
