@@ -33,6 +33,30 @@ TEMPLATES = [
 PHRASES = [("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")]
 
 
+_APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what stands between words, before A-Z are lower-cased
+
+
+def _let(c: Column, body) -> Column:
+    """body(c) with c computed once; inside a lambda function it would be computed for each element."""
+    return F.transform(F.array(c), body)[0]
+
+
+def count_words(text: Column) -> Column:
+    """How many words a text has; lower-casing would not change it."""
+    ends = lambda a: F.size(a) - (a[0] == "").cast("int") - ((F.size(a) > 1) & (F.element_at(a, -1) == "")).cast("int")
+    return _let(F.split(text, f"{_APART}+", -1), ends)
+
+
+def _holds(lowered: Column, phrases: list[str]) -> Column:
+    """Whether a text lower-cased by lower() may hold one of the phrases.
+
+    lower() is faster than ascii_lower() and changes no word that is all ASCII,
+    so no text is missed; what else it lets through is sorted out exactly later.
+    """
+    forms = "|".join(sorted({p.replace(" ", f"{_APART}+") for p in phrases}))
+    return lowered.rlike(f"(?:^|{_APART})(?:{forms})(?:{_APART}|$)")
+
+
 def normalised(text: Column) -> Column:
     r"""The words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of the text with A-Z lower-cased, one space apart."""
     return F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
@@ -69,9 +93,11 @@ def license_scan(
         raise ValueError("at most 100 templates of at most half a window of words each")
     k1, k2 = row_key("id", "text")
     vocabulary = sorted({t for *_, tokens in sets for t in tokens})
-    norm = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", k1, k2, normalised(F.col("text")).alias("norm"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", k1, k2, text.alias("text"), F.lower(text).alias("low"))
 
-    held = norm.select(F.explode(F.array_intersect(_strings(vocabulary), _words(F.col("norm")))).alias("token")).groupBy("token").count()
+    # Counted on lower(): the order decides what is looked at first, not what is found.
+    held = rows.select(F.explode(F.array_intersect(_strings(vocabulary), F.split("low", f"{_APART}+", -1))).alias("token")).groupBy("token").count()
     often = {r["token"]: r["count"] for r in held.collect()}
     order = sorted(vocabulary, key=lambda t: (often.get(t, 0), t))
     rank = {t: k for k, t in enumerate(order)}
@@ -82,11 +108,15 @@ def license_scan(
     schema = "token string, label string, family string, tokens array<string>, need int, j int"
     index_df = docs.sparkSession.createDataFrame(index, schema)
 
-    heads = "|".join(sorted({t[0] for t in index}))
-    near = norm.where(F.concat(F.lit(" "), F.col("norm"), F.lit(" ")).rlike(f" (?:{heads}) ")).select("_k1", "_k2", _words(F.col("norm")).alias("words")).distinct()
+    near = rows.where(_holds(F.col("low"), [t[0] for t in index])).select("_k1", "_k2", "text").distinct()
     step = window // 2
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - step, F.lit(1)), F.lit(step))
-    blocks = near.select("_k1", "_k2", F.posexplode(F.transform(starts, lambda i: F.array_intersect(_strings(order), F.slice("words", i, window)))).alias("block", "own"))
+
+    def windows(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - step, F.lit(1)), F.lit(step))
+        return F.transform(starts, lambda i: F.array_intersect(_strings(order), F.slice(words, i, window)))
+
+    cut = _let(normalised(F.col("text")), lambda norm: _let(_words(norm), windows))
+    blocks = near.select("_k1", "_k2", F.posexplode(cut).alias("block", "own"))
     probes = blocks.select("_k1", "_k2", "block", "own", F.posexplode("own").alias("i", "token"))
     pairs = probes.join(F.broadcast(index_df), "token")
     left = 1 + F.least(F.size("own") - F.col("i") - 1, F.size("tokens") - F.col("j") - 1)
@@ -96,18 +126,21 @@ def license_scan(
     best = found.groupBy("_k1", "_k2", "block", "family").agg(F.max("hit").alias("hit"))
     own = best.groupBy("_k1", "_k2").agg(F.collect_set("hit.label").alias("more"), F.max("hit.score").alias("share"))
 
-    words = F.split("norm", " ")
-    places = []
-    for _, phrase in phrases:
-        p = phrase.split()
-        at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - len(p), F.lit(0))), lambda i: F.slice(words, i + 1, len(p)) == _strings(p))  # noqa: B023
-        stands = F.concat(F.lit(" "), F.col("norm"), F.lit(" ")).contains(f" {phrase} ")
-        places.append(F.when(stands, at).otherwise(F.array().cast("array<int>")))
-    based = norm.withColumn("places", F.array(*places)).select(
-        "id", "_k1", "_k2",
-        F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),
-        F.flatten("places").alias("at"),
-        F.array_distinct(F.filter(F.transform("places", lambda x, k: F.when(F.size(x) > 0, F.element_at(_strings([label for label, _ in phrases]), k + 1))), lambda x: x.isNotNull())).alias("base"),
+    def places(norm: Column) -> Column:
+        """For each phrase the places where its words stand."""
+
+        def at(p: list[str], words: Column) -> Column:
+            first = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - len(p), F.lit(0))), lambda i: F.slice(words, i + 1, len(p)) == _strings(p))
+            return F.when(F.concat(F.lit(" "), norm, F.lit(" ")).contains(f" {' '.join(p)} "), first).otherwise(F.array().cast("array<int>"))
+
+        return _let(F.split(norm, " "), lambda words: F.array(*(at(phrase.split(), words) for _, phrase in phrases)))
+
+    nowhere = F.array(*(F.array().cast("array<int>") for _ in phrases))
+    found_at = F.when(_holds(F.col("low"), [p for _, p in phrases]), _let(normalised(F.col("text")), places)).otherwise(nowhere)
+    names = _strings([label for label, _ in phrases])
+    based = rows.select("id", "_k1", "_k2", count_words(F.col("text")).cast("long").alias("n_words"), found_at.alias("places")).select(
+        "id", "_k1", "_k2", "n_words", F.flatten("places").alias("at"),
+        F.array_distinct(F.filter(F.transform("places", lambda x, k: F.when(F.size(x) > 0, F.element_at(names, k + 1))), lambda x: x.isNotNull())).alias("base"),
     )
     none = F.array().cast("array<string>")
     return based.join(own, ["_k1", "_k2"], "left").select(
