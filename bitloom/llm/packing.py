@@ -64,7 +64,7 @@ def best_bounds(tops: np.ndarray, counts: np.ndarray, k: int) -> list[int]:
     return bounds[::-1]
 
 
-def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int = 16, budget: int = 32_768, cell: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int = 16, budget: int = 32_768, cell: int = 10_000) -> DataFrame:
     """docs with n_tokens, bucket (from 0), bucket_len, batch and slot.
 
     Each document lies in the bucket with the least bound that holds its length
@@ -82,25 +82,25 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     """
     added = ["n_tokens", "bucket", "bucket_len", "batch", "slot"]
     rest = [c for c in docs.columns if c not in added]
-    sized = docs.withColumn("_n", F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(1)))
-    histogram = np.array([tuple(r) for r in sized.groupBy(bin_top(F.col("_n")).alias("top")).count().collect()], np.int64).reshape(-1, 2)
+    # All columns travel as one, whatever their names.
+    sized = docs.select(F.struct(*rest).alias("row"), F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(1)).alias("n_tokens"))
+    histogram = np.array([tuple(r) for r in sized.groupBy(bin_top(F.col("n_tokens")).alias("top")).count().collect()], np.int64).reshape(-1, 2)
     bounds = best_bounds(histogram[:, 0], histogram[:, 1], buckets)
     edges = F.array(*map(F.lit, bounds or [1])).cast("array<long>")
-    k1, k2 = row_key(*rest)
+    k1, k2 = row_key("row")
     cells = max(1, -(-int(histogram[:, 1].sum()) // cell))
-    placed = sized.select(*rest, F.col("_n").alias("n_tokens"), F.size(F.filter(edges, lambda b: b < F.col("_n"))).alias("bucket"), k1, k2)
-    placed = placed.withColumn("_cell", F.pmod(F.col("_k1"), F.lit(cells)).cast("int"))
-    counts = placed.groupBy("bucket", "_cell").count()
-    before = counts.select("bucket", "_cell", (F.sum("count").over(W.partitionBy("bucket").orderBy("_cell")) - F.col("count")).alias("_before"))
-    rank = F.row_number().over(W.partitionBy("bucket", "_cell").orderBy("_k1", "_k2"))
-    numbered = placed.withColumn("_rank", rank).join(before, ["bucket", "_cell"])
-    bound = F.element_at(edges, F.col("bucket") + 1)
+    bucket_of = lambda n: F.size(F.filter(edges, lambda b: b < n))
+    # Bound by transform(), the length is computed once a row and not once a bound.
+    placed = sized.select("row", "n_tokens", F.transform(F.array("n_tokens"), bucket_of)[0].alias("bucket"), k1, k2)
+    placed = placed.withColumn("cell", F.pmod(F.col("_k1"), F.lit(cells)).cast("int"))
+    counts = placed.groupBy("bucket", "cell").count()
+    before = counts.select("bucket", "cell", (F.sum("count").over(W.partitionBy("bucket").orderBy("cell")) - F.col("count")).alias("before"))
+    rank = F.row_number().over(W.partitionBy("bucket", "cell").orderBy("_k1", "_k2"))
+    numbered = placed.withColumn("rank", rank).join(before, ["bucket", "cell"])
+    numbered = numbered.select("row", "n_tokens", "bucket", F.element_at(edges, F.col("bucket") + 1).alias("bucket_len"), (F.col("before") + F.col("rank") - 1).alias("place"))
     holds = F.greatest(F.floor(F.lit(budget) / F.col("bucket_len")), F.lit(1))
-    place = F.col("_before") + F.col("_rank") - 1
-    return (
-        numbered.withColumn("bucket_len", bound)
-        .withColumns({"batch": F.floor(place / holds).cast("long"), "slot": (place % holds).cast("long")})
-        .select(*rest, *added)
+    return numbered.select(
+        *(F.col("row")[c].alias(c) for c in rest), "n_tokens", "bucket", "bucket_len", F.floor(F.col("place") / holds).cast("long").alias("batch"), (F.col("place") % holds).cast("long").alias("slot")
     )
 
 
