@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spill import row_key
+from .spill import materialise, row_key
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,35 +37,34 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     their own drop positions.
     """
     key = ascii_lower(F.trim(F.col("line"), F.lit(SPACE)))
-    k1, k2 = row_key("_id", "_text")
-    docs = docs.withColumns({"_id": F.col(id_col), "_text": F.col(text_col)}).withColumns({"_k1": k1, "_k2": k2})
-    doc = F.when(F.col("_id").isNotNull(), F.xxhash64("_id")).otherwise(F.col("_k1"))
+    k1, k2 = row_key("id", "text")
+    added = ["n_lines", "n_dropped", "kept_text"]
+    others = [c for c in docs.columns if c not in (text_col, *added)]
+    rest = F.struct(*others) if others else F.lit(0)  # one column, whatever names are in it
+    rows = docs.select(rest.alias("rest"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("rest", "id", "text", k1, k2)
+    doc = F.when(F.col("id").isNotNull(), F.xxhash64("id")).otherwise(F.col("_k1"))
     lines = (
-        docs.select("_k1", "_k2", doc.alias("doc"), F.posexplode(F.split(F.coalesce("_text", F.lit("")), "\n", -1)).alias("pos", "line"))
+        rows.select("_k1", "_k2", doc.alias("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
         .select("_k1", "_k2", "doc", "pos", key.alias("key"))
         .where(F.char_length("key") >= min_key)
         .select("_k1", "_k2", "doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
     frequent = lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
+    frequent = materialise(frequent, "frequent-lines")  # a plain join side: Spark can split a hot line's partition, or broadcast a small table
     drops = lines.join(frequent, ["h1", "h2"], "left_semi").groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set("pos")).alias("_drop"))
     # Between one dropped position and the next lies a slice that stays: linear, however many are dropped.
-    split = F.split(F.coalesce("_text", F.lit("")), "\n", -1)
     kept = F.flatten(
         F.zip_with(
             F.concat(F.array(F.lit(-1)), F.col("_drop")),
-            F.concat(F.col("_drop"), F.array(F.size("_lines"))),
-            lambda a, b: F.slice(F.col("_lines"), a + 2, b - a - 1),
+            F.concat(F.col("_drop"), F.array(F.size("lines"))),
+            lambda a, b: F.slice(F.col("lines"), a + 2, b - a - 1),
         )
     )
-    return (
-        docs.join(drops, ["_k1", "_k2"], "left")
-        .withColumn("_lines", split)
-        .withColumns(
-            {
-                "n_lines": F.size("_lines").cast("long"),
-                "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long"),
-                "kept_text": F.when(F.col("_drop").isNull(), F.coalesce("_text", F.lit(""))).otherwise(F.array_join(kept, "\n")),
-            }
-        )
-        .drop("_k1", "_k2", "_id", "_text", "_drop", "_lines")
-    )
+    text = F.coalesce("text", F.lit(""))
+    cut = rows.join(drops, ["_k1", "_k2"], "left").select("rest", "text", "_drop", F.split(text, "\n", -1).alias("lines"))
+    own = {text_col: F.col("text")} | {c: F.col("rest")[c] for c in others}
+    done = cut.select(
+        "rest", "text", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+    )
+    return done.select(*(own[c].alias(c) for c in docs.columns if c in own), *added)

@@ -37,7 +37,9 @@ def rows():
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, "clash", 7) for i, t in rows], "doc_id long, text string, class_id string, n_lines int")
+    names = ["id", "row", "rest", "_k1", "lines", "pos", "score", "rank", "cell"]
+    schema = "doc_id long, text string, class_id string, n_lines int, " + ", ".join(f"{n} string" for n in names)
+    return spark.createDataFrame([(i, t, "clash", 7, *names) for i, t in rows], schema)
 
 
 def test_line_dedup(spark, rows):
