@@ -138,7 +138,8 @@ def jaccard_join(
     reach.  A text with fewer words than ``size`` has one shingle of all its
     words.  A text without words (null, empty or only signs) links to nothing
     and is a class of its own; so is a row with a null id, whose ids are null.
-    Repeated rows come back once each.
+    Repeated rows come back once each.  An id names one text: of different texts
+    under one id any one may be compared for it.  Other columns are ignored.
 
     ``recall``: probability that banding proposes a pair just at the threshold;
     a pair proposed at any distance within its group is verified exactly.
@@ -154,6 +155,7 @@ def jaccard_join(
 
     keyed = reps.select("id", F.posexplode("bands").alias("band", "h")).select("id", F.xxhash64("band", "h").alias("bucket"), "h")
     shared = keyed.groupBy("bucket", "h").agg(F.min("id").alias("low"), F.count("*").alias("k")).where("k > 1").select("bucket", "h", "low")
+    shared = materialise(shared, "buckets")  # plain join sides here and below: Spark can split a hot bucket's or group's partition
     groups = materialise(connected_components(keyed.join(shared, ["bucket", "h"]).select("id", "low"), "id", "low"), "candidates")
 
     # Deal large groups into blocks. A size class is a factor of 1/threshold wide, so partners are at most one class apart.
@@ -168,6 +170,7 @@ def jaccard_join(
     )
     beside = beside.groupBy("component", "c").agg(F.max("above").alias("above"), F.max("below").alias("below"))
     deal = deal.join(beside, ["component", "c"], "left").fillna(0, ["above", "below"])
+    deal = materialise(deal, "deal")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     name = lambda c, x, y: F.xxhash64("component", c, x, y)  # noqa: E731  the task where block x of class c meets block y of class c, or -1-y of the class above
     each = lambda n, f: F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), f)
@@ -179,9 +182,7 @@ def jaccard_join(
     whole = F.array(F.struct(F.xxhash64("component").alias("task"), F.lit(2).alias("side")))
     tasks = members.join(deal, ["component", "c"], "left").select("id", F.when(F.col("parts").isNull(), whole).otherwise(meets).alias("tasks"))
 
-    # Ids may repeat among rows; the class's word hash tells which row is meant.
-    wanted = tasks.join(reps.select("id", "k1", "k2"), "id")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(tasks, "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
