@@ -10,8 +10,9 @@ from .html_extract import html_extract
 from .license_scan import PHRASES, TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .ngram_join import jaccard_join
-from .packing import pack, word_count
+from .packing import pack
 from .quality_rules import quality_rules
+from .spill import materialise
 from .token_counts import token_counts
 from .url_filter import url_filter
 from .warc import round_trip
@@ -41,7 +42,8 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", word_count().alias("length"))
+    """Lengths are tokens, counted once: pack() reads them several times."""
+    docs = materialise(op8_token_counts(spark, sf_dir).select("doc_id", F.col("n_tokens").alias("length")), "lengths")
     return pack(docs, F.col("length")).select("doc_id", "n_tokens", "bucket", "bucket_len", "batch", "slot")
 
 

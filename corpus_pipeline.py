@@ -37,7 +37,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each with its bucket, batch and slot."""
+    """All documents, each with its bucket, batch and slot. Lengths are words, not tokens: see README, 5."""
     return pack(docs, word_count())
 
 

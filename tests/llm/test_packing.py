@@ -49,3 +49,18 @@ def test_batches(spark):
         for k, slots in mine.items():
             assert sorted(slots) == list(range(len(slots))) and (len(slots) == holds or k[1] == len(mine) - 1)
     assert pack(df.limit(0), word_count()).count() == 0
+
+
+def test_query_packs_tokens(spark, tmp_path):
+    import public_tokenizers
+    from bitloom.llm.queries import op5_packing
+    from tokenizers import Tokenizer
+
+    texts = [None, "", "one two", "antidisestablishmentarianism", "漢字" * 3_000, "x1y2" * 25_000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {k: max(1, len(library.encode(t or "", add_special_tokens=False))) for k, t in enumerate(texts)}
+    got = op5_packing(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == want and want[4] > 1000 and want[5] > 32_768
+    assert all(r.n_tokens <= r.bucket_len for r in got)
+    assert [r.doc_id for r in got if (r.bucket, r.batch) == next((x.bucket, x.batch) for x in got if x.doc_id == 5)] == [5]
