@@ -6,14 +6,20 @@ components over (url, url) edges.  DataFrame operations only.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import decode_entities
 from .components import connected_components
 from .line_dedup import ascii_lower
 from .spill import row_key
 
 INLINE = 500
+_NAMES = json.dumps({name[:-1]: char for name, char in html5.items() if name.endswith(";")})
+_REFERENCE = r"^&(#?\w+);"
 
 
 def host_of(url: Column) -> Column:
@@ -30,14 +36,33 @@ def node_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), F.when(rest == "", "/").otherwise(rest)))
 
 
+def unescape(c: Column) -> Column:
+    """Character references decoded once, named ones by HTML's own table; unknown ones stay."""
+    names = F.from_json(F.lit(_NAMES), "map<string,string>")
+
+    def one(part: Column) -> Column:
+        reference = F.regexp_extract(part, _REFERENCE, 0)
+        known = F.coalesce(names[F.regexp_extract(part, _REFERENCE, 1)], decode_entities(reference))
+        return F.when(reference == "", part).otherwise(F.concat(known, F.regexp_replace(part, _REFERENCE, "")))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "(?=&)", -1), one), "")).otherwise(c)
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Edges (a, b) between resources: a canonical link, or a redirect by meta refresh, from a page's html; relative targets are resolved."""
+    """Edges (a, b) between resources: a canonical link, or a redirect by meta refresh, from a page's html.
+
+    Tags may be of any length.  ``rel`` is a list of words, references in targets
+    are decoded, and relative targets are resolved.
+    """
     html, url = F.col(html_col), F.col(url_col)
-    attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']?([^"'\s>]*)""", 1)
-    links = F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]{0,2000}>"), F.lit(0))
-    canonical = F.transform(F.filter(links, lambda t: F.lower(attribute(t, "rel")) == "canonical"), lambda t: attribute(t, "href"))
+    # A tag without an end runs to the end of the page, so that no part of it is searched again, and is left out.
+    tags = lambda name: F.filter(F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b[^>]*+(?:>|\z)"), F.lit(0)), lambda t: t.endswith(">"))
+    href = lambda t: F.regexp_extract(t, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]*)""", 1)
+    value = r"""(?is)\brel\s*+=\s*+(?:"([^">]*)|'([^'>]*)|([^\s"'>]+))"""
+    rel = lambda t: F.split(F.lower(F.concat(*(F.regexp_extract(t, value, k) for k in (1, 2, 3)))), r"\s+")
+    canonical = F.transform(F.filter(tags("link"), lambda t: F.array_contains(rel(t), "canonical")), href)
     refresh = F.transform(
-        F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]{0,2000}http-equiv\s*=\s*[\"']?refresh[^>]{0,2000}>"), F.lit(0)),
+        F.filter(tags("meta"), lambda t: t.rlike(r"""(?is)http-equiv\s*+=\s*+["']?refresh""")),
         lambda t: F.regexp_extract(t, r"""(?is)url\s*=\s*['"]?([^"'\s>]+)""", 1),
     )
     target = F.col("target")
@@ -49,7 +74,7 @@ def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         .when(target.startswith("/"), F.concat(root, target))
         .otherwise(F.concat(F.when(here.endswith("/"), here).otherwise(F.concat(here, F.lit("/"))), target))
     )
-    edges = pages.where(html.rlike(r"(?i)canonical|refresh")).select(url_col, F.explode(F.concat(canonical, refresh)).alias("target"))
+    edges = pages.where(html.rlike(r"(?i)canonical|refresh")).select(url_col, F.explode(F.transform(F.concat(canonical, refresh), unescape)).alias("target"))
     return edges.where("target != ''").select(node_of(url).alias("a"), node_of(full).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
 
 

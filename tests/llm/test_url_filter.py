@@ -1,5 +1,5 @@
 from bitloom.llm.components import connected_components
-from bitloom.llm.url_filter import host_of, path_of, url_filter
+from bitloom.llm.url_filter import host_of, link_edges, path_of, unescape, url_filter
 from pyspark.sql import functions as F
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "bad.com/"), ("allow", "fine.bad.com/ok")]
@@ -55,3 +55,23 @@ def test_verdicts(spark):
     assert url_filter(pages.limit(0), RULES).count() == 0
     given = spark.createDataFrame([("http://other.net/1", "http://bad.com/x")], "a string, b string")
     assert {r.page_id: r.verdict for r in url_filter(pages, RULES, given, html_col=None).collect()}[9] == "block"
+
+
+def test_long_tags_references_and_rel_words(spark):
+    long = "x" * 5_000
+    rows = [
+        (1, "http://bad.com/x?a=1&b=2", None),
+        (2, "http://long.net/", f'<link data-x="{long}" href="http://bad.com/x?a=1&amp;b=2" rel="canonical">'),
+        (3, "http://meta.net/", f'<meta name="{long}" http-equiv="refresh" data-x="{long}" content="0; url=http://bad.com/x?a=1&#38;b=2">'),
+        (4, "http://words.net/", '<link rel="alternate\ncanonical" href="http://bad.com/x?a=1&amp;b=2">'),
+        (5, "http://words.org.net/", "<link rel=' Canonical nofollow' href='//bad.com/x?a=1&#x26;b=2'>"),
+        (6, "http://other.net/", '<link rel="canonical-not" href="http://bad.com/x?a=1&amp;b=2">'),
+        (7, "http://open.net/", '<link rel="canonical" href="http://bad.com/x?a=1&amp;b=2" ' + "<link " * 200_000),
+        (8, "http://twice.net/", '<link rel="canonical" href="http://bad.com/x?a=1&amp;amp;b=2">'),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id for r in url_filter(pages, RULES).collect() if r.verdict == "block"} == {1, 2, 3, 4, 5}
+    assert len(link_edges(pages).collect()) == 5
+    given = ["&amp;lt;", "&#38;lt;", "a&eacute;&Eacute;&#233;", "&copy=1&nosuch;&", "", "a&b", "&#xD800;"]
+    rows = spark.createDataFrame([(t,) for t in given], "t string").select(unescape(F.col("t"))).collect()
+    assert [r[0] for r in rows] == ["&lt;", "&lt;", "aéÉé", "&copy=1&nosuch;&", "", "a&b", "&#xD800;"]
