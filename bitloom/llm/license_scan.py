@@ -71,7 +71,7 @@ def _strings(values: list[str]) -> Column:
 
 
 def license_scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=tuple(TEMPLATES), phrases=tuple(PHRASES), threshold: float = 0.85, window: int = 64
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=tuple(TEMPLATES), phrases=tuple(PHRASES), threshold: float = 0.85, window: int = 64, every: bool = False
 ) -> DataFrame:
     """Rows of (id, n_words, n_base, first_word, last_word, base_labels, labels, score), one for each row of docs.
 
@@ -79,7 +79,10 @@ def license_scan(
     of up to half a window lies whole in one; together they cover the text.  A
     template is found in a block that holds ``threshold`` of its distinct tokens
     or more; of one family the best found in a block counts (the greater share,
-    then the longer template).  ``labels`` joins the found ones and those of
+    then the longer template); with ``every`` also all that it holds to the last
+    token, but for those whose tokens are a part of another such one's, unless
+    their own pairs of neighbouring words, which that one lacks, stand there too
+    (none: they count).  ``labels`` joins the found ones and those of
     phrases whose words stand consecutively (``base_labels``, n_base places,
     first_word, last_word: their smallest and largest word position, else
     null).  ``score``: the greatest share found, 1 where a phrase stands, else 0.
@@ -102,10 +105,16 @@ def license_scan(
     order = sorted(vocabulary, key=lambda t: (often.get(t, 0), t))
     rank = {t: k for k, t in enumerate(order)}
     index = []
-    for label, family, tokens in sets:
+    beside = [set(zip(text.split(), text.split()[1:])) for *_, text in templates]
+    # For each template the numbers of those of its family that have all its tokens and more, and the pairs that tell it from them.
+    over = [
+        [(b, sorted(map(" ".join, beside[a] - beside[b]))) for b, (_, other, more) in enumerate(sets) if other == family and set(tokens) < set(more)] for a, (_, family, tokens) in enumerate(sets)
+    ]
+    telling = sorted({p for x in over for _, pairs in x for p in pairs}) if every else []
+    for a, (label, family, tokens) in enumerate(sets):
         tokens, need = sorted(tokens, key=rank.get), math.ceil(threshold * len(tokens) - 1e-9)
-        index += [(t, label, family, tokens, need, j) for j, t in enumerate(tokens[: len(tokens) - need + 1])]
-    schema = "token string, label string, family string, tokens array<string>, need int, j int"
+        index += [(t, label, family, tokens, need, j, a, over[a]) for j, t in enumerate(tokens[: len(tokens) - need + 1])]
+    schema = "token string, label string, family string, tokens array<string>, need int, j int, number int, over array<struct<number:int,pairs:array<string>>>"
     index_df = docs.sparkSession.createDataFrame(index, schema)
 
     near = rows.where(_holds(F.col("low"), [t[0] for t in index])).select("_k1", "_k2", "text").distinct()
@@ -113,18 +122,30 @@ def license_scan(
 
     def windows(words: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(words) - step, F.lit(1)), F.lit(step))
-        return F.transform(starts, lambda i: F.array_intersect(_strings(order), F.slice(words, i, window)))
+        own = lambda i: F.array_intersect(_strings(order), F.slice(words, i, window))
+        line = lambda i: F.concat(F.lit(" "), F.array_join(F.slice(words, i, window), " "), F.lit(" "))
+        stand = lambda i: _let(line(i), lambda x: F.filter(_strings(telling), lambda p: x.contains(F.concat(F.lit(" "), p, F.lit(" ")))))
+        return F.transform(starts, lambda i: F.struct(own(i).alias("own"), (stand(i) if telling else _strings([])).alias("stand")))
 
     cut = _let(normalised(F.col("text")), lambda norm: _let(_words(norm), windows))
-    blocks = near.select("_k1", "_k2", F.posexplode(cut).alias("block", "own"))
-    probes = blocks.select("_k1", "_k2", "block", "own", F.posexplode("own").alias("i", "token"))
+    blocks = near.select("_k1", "_k2", F.posexplode(cut).alias("block", "cut")).select("_k1", "_k2", "block", "cut.own", "cut.stand")
+    probes = blocks.select("_k1", "_k2", "block", "own", "stand", F.posexplode("own").alias("i", "token"))
     pairs = probes.join(F.broadcast(index_df), "token")
     left = 1 + F.least(F.size("own") - F.col("i") - 1, F.size("tokens") - F.col("j") - 1)
     pairs = pairs.where((F.size("own") >= F.col("need")) & (left >= F.col("need")))
     shared = F.size(F.array_intersect("own", "tokens"))
-    found = pairs.where(shared >= F.col("need")).select("_k1", "_k2", "block", "family", F.struct((shared / F.size("tokens")).alias("score"), F.size("tokens").alias("n"), "label").alias("hit"))
-    best = found.groupBy("_k1", "_k2", "block", "family").agg(F.max("hit").alias("hit"))
-    own = best.groupBy("_k1", "_k2").agg(F.collect_set("hit.label").alias("more"), F.max("hit.score").alias("share"))
+    hit = F.struct((shared / F.size("tokens")).alias("score"), F.size("tokens").alias("n"), "label").alias("hit")
+    found = pairs.where(shared >= F.col("need")).select("_k1", "_k2", "block", "family", hit, "stand", F.struct("number", "label", "over").alias("template"))
+    best = found.groupBy("_k1", "_k2", "block", "family")
+    if every:
+        full = F.collect_set(F.when(F.col("hit.score") == 1.0, F.col("template")))
+        best = best.agg(F.max("hit").alias("hit"), F.first("stand").alias("stand"), full.alias("full")).withColumn("numbers", F.transform("full", lambda t: t["number"]))
+        apart = lambda o: ~F.array_contains("numbers", o["number"]) | (F.size(F.array_except(o["pairs"], "stand")) == 0)
+        more = F.transform(F.filter("full", lambda t: F.forall(t["over"], apart)), lambda t: t["label"])
+        best = best.select("_k1", "_k2", "hit", F.explode(F.array_union(F.array("hit.label"), more)).alias("label"))
+    else:
+        best = best.agg(F.max("hit").alias("hit")).select("_k1", "_k2", "hit", "hit.label")
+    own = best.groupBy("_k1", "_k2").agg(F.collect_set("label").alias("more"), F.max("hit.score").alias("share"))
 
     def places(norm: Column) -> Column:
         """For each phrase the places where its words stand."""

@@ -34,7 +34,7 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"))
+    return license_scan(table(spark, sf_dir, "documents"), every=True)
 
 
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,24 @@ def test_against_brute_force(spark):
     got = sorted((str(r[0]), *map(str, r[1:-1]), str(round(r[-1], 9))) for r in license_scan(df).collect())
     assert got == sorted((str(i), *map(str, brute(t))) for i, t, _ in rows)
     assert license_scan(df.limit(0)).count() == 0
+
+
+def test_query_finds_every_notice_of_a_family(spark, tmp_path):
+    from bitloom.llm.queries import op3_license_scan
+
+    gpl, cc = "This work is licensed under the GNU General Public License version", "licensed under a Creative Commons Attribution"
+    texts = {
+        f"{gpl} 2. {gpl} 3.": "gpl-2,gpl-3",
+        f"{gpl} 3": "gpl-3",
+        "Licensed under CC BY 4.0 and CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-NC 4.0, code licensed under CC BY 4.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-NC 4.0 or CC BY 4.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        f"{cc} NonCommercial 4.0 International License": "cc-by-nc",
+        f"{cc} NonCommercial 4.0 International License\n{cc} 4.0 International License": "cc-by,cc-by-nc",
+        f"{cc} 4.0 International License": "cc-by",
+        "nothing here": "",
+    }
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.labels for r in op3_license_scan(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(texts.values()))
