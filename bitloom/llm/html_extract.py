@@ -39,6 +39,8 @@ _BAD = set(
 )
 _GOOD = set("article articlebody content post entry story main maincontent body text prose".split())
 BIG = 1 << 30
+# What a bad name costs a block inside: on a wrapper of the page, and on a box with an article of its own, which few articles outweigh.
+WRAPPED, BOXED = 0.2, 6.0
 
 
 class Block:
@@ -119,18 +121,47 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
-def score_of(block: Block, framed: bool) -> float:
-    """What speaks for content (over 0) or boilerplate; framed: the page has an article or main element."""
+def wrappers_of(blocks: list[Block]) -> set[int]:
+    """Elements around the page's text whatever their names say.
+
+    They hold half of its unlinked words and its first article or main element,
+    or, where there is none, four fifths of the words.
+    """
+    held: dict[int, int] = {}
+    total, first = 0, None
+    for b in blocks:
+        words = round((b.text.count(" ") + 1) * (1 - b.linked / max(len(b.text), 1)))
+        total += words
+        for number, _, _ in b.path:
+            held[number] = held.get(number, 0) + words
+        if first is None and any(tag in ("article", "main") for _, tag, _ in b.path):
+            first = {number for number, _, _ in b.path}
+    return {number for number, words in held.items() if (5 * words >= 4 * total if first is None else 2 * words >= total and number in first)}
+
+
+def score_of(block: Block, framed: bool, wrappers: set[int]) -> float:
+    """What speaks for content (over 0) or boilerplate; framed: the page has an article or main element.
+
+    A bad name vetoes what stands in its box, unless the box is one of
+    ``wrappers`` or has the block's article inside: those cost something, less
+    for wrappers, and words, links and articles count on.
+    """
     inside = -1
     for k, (_, tag, names) in enumerate(block.path):
         if tag in ("article", "main") or (names & _GOOD and not names & _BAD):
             inside = k
-    score = 0.0
-    for k, (_, tag, names) in enumerate(block.path):
-        if tag in _NEVER or (tag == "header" and inside < 0) or (names & _BAD and tag not in ("html", "body")):
+    score, penalty = 0.0, 0.0
+    for k, (number, tag, names) in enumerate(block.path):
+        if tag in _NEVER or (tag == "header" and inside < 0):
             return -BIG if k > inside or tag in ("form", "button", "select", "head") or inside < 0 else -2.0
+        if names & _BAD and tag not in ("html", "body"):
+            if k <= inside or (inside < 0 and number in wrappers):
+                penalty = max(penalty, WRAPPED if number in wrappers else BOXED)
+            else:
+                return -BIG
         if tag == "header" and k < inside:
             score -= 1.0
+    score -= penalty
     words = block.text.count(" ") + 1
     density = block.linked / max(len(block.text), 1)
     score += 3.0 if inside >= 0 else -3.0 if framed else 0.0
@@ -213,11 +244,12 @@ class Flow:
 def label(blocks: list[Block], smooth: float = 0.8) -> list[bool]:
     """Which blocks are content, by the minimum cut."""
     framed = any(tag in ("article", "main") for b in blocks for _, tag, _ in b.path)
+    wrappers = wrappers_of(blocks)
     n = len(blocks)
     flow = Flow(n + 2)
     last: dict[int, int] = {}
     for k, b in enumerate(blocks):
-        b.score = score_of(b, framed)
+        b.score = score_of(b, framed, wrappers)
         cost = min(BIG, round(abs(b.score) * 1000))
         flow.edge(*((n, k) if b.score > 0 else (k, n + 1)), cost)
         near = {}

@@ -57,3 +57,16 @@ def test_rows(spark):
     got = html_extract(df).collect()
     assert sorted((str(r.page_id), len(r.text)) for r in got) == sorted([("1", len(main_text(PAGE)))] * 2 + [("2", 0), ("None", 0)])
     assert html_extract(df.limit(0)).count() == 0
+
+
+def test_names_on_wrappers_do_not_veto():
+    prose = ["Words that make a sentence of some length, as articles have. " * n for n in (1, 3, 2)]
+    prose = [p.strip() for p in prose]
+    body = "<h1>A short title</h1>" + "".join(f"<p>{p}</p>" for p in prose)
+    boxes = '<div class="sidebar"><p>A box about other things that has a sentence.</p></div><div class="comments"><article><p>I liked this long comment a lot, really, I did.</p></article></div>'
+    wanted = "\n".join(["A short title", *prose])
+    for name in ("page has-sidebar", "site no-sidebar", "social", "promo", "banner", "search", "legal"):
+        assert main_text(f'<body><div class="{name}"><article>{body}</article>{boxes}</div><footer>foot</footer></body>') == wanted
+        assert main_text(f'<body><main><div id="{name}"><article class="post {name}">{body}</article>{boxes}</div></main></body>') == wanted
+        less = f'<body><div class="{name}"><ul class="menu"><li><a href="/">Home</a></ul><div>{body}</div><div class="sidebar"><p>A box about other things.</p></div></div></body>'
+        assert main_text(less) == wanted
