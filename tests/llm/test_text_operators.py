@@ -107,3 +107,12 @@ def test_quality_rules(spark, rows):
     alone = quality_rules(df, lab.limit(0)).collect()
     assert all(r.kept == (not r.base_failed) for r in alone)
     assert quality_rules(df.limit(0), lab).count() == 0
+
+
+def test_target_counts_cover_all_trusted_documents(spark):
+    rng = random.Random(9)
+    rows = [(k if k % 9 else None, " ".join(rng.choice(["alpha", "beta", f"w{k}", f"x{rng.randrange(99)}"]) for _ in range(60))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    scores = [sorted((r.text, r.score) for r in quality_rules(docs, labels, max_labels=n).collect()) for n in (6, 60)]
+    assert scores[0] == scores[1] and len(scores[0]) == 60 and any(s for _, s in scores[0])
