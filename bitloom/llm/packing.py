@@ -76,7 +76,9 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     it; equal rows are interchangeable.  No documents give no rows.  Columns
     pass through; added columns replace columns of their names.
 
-    Bounds on lengths beyond 4096 are exact to 1/64 of the length.  Numbering
+    Every bound is the length of a document: the greatest of its bin, so bounds
+    beyond 4096 are the best of those that part bins and not lengths of one bin,
+    1/64 of an octave wide.  Numbering
     needs no task that sees a whole bucket: rows are numbered in cells of about
     ``cell`` rows, and cells are put in order by the sums of their counts.
     """
@@ -84,7 +86,7 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     rest = [c for c in docs.columns if c not in added]
     # All columns travel as one, whatever their names.
     sized = docs.select(F.struct(*rest).alias("row"), F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(1)).alias("n_tokens"))
-    histogram = np.array([tuple(r) for r in sized.groupBy(bin_top(F.col("n_tokens")).alias("top")).count().collect()], np.int64).reshape(-1, 2)
+    histogram = np.array([tuple(r) for r in sized.groupBy(bin_top(F.col("n_tokens")).alias("bin")).agg(F.max("n_tokens").alias("top"), F.count("*")).select("top", "count(1)").collect()], np.int64).reshape(-1, 2)
     bounds = best_bounds(histogram[:, 0], histogram[:, 1], buckets)
     edges = F.array(*map(F.lit, bounds or [1])).cast("array<long>")
     k1, k2 = row_key("row")

@@ -64,3 +64,10 @@ def test_query_packs_tokens(spark, tmp_path):
     assert {r.doc_id: r.n_tokens for r in got} == want and want[4] > 1000 and want[5] > 32_768
     assert all(r.n_tokens <= r.bucket_len for r in got)
     assert [r.doc_id for r in got if (r.bucket, r.batch) == next((x.bucket, x.batch) for x in got if x.doc_id == 5)] == [5]
+
+
+def test_long_bounds_are_lengths_of_documents(spark):
+    rows = spark.createDataFrame([(k, [10_922, 16_380, 16_400][k % 3]) for k in range(27)], "doc_id long, n long")
+    got = pack(rows, F.col("n"), buckets=2).collect()
+    assert {(r.n, r.bucket_len) for r in got} == {(10_922, 10_922), (16_380, 16_400), (16_400, 16_400)}
+    assert Counter(Counter((r.bucket, r.batch) for r in got if r.n == 10_922).values()) == {3: 3}
