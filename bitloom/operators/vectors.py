@@ -74,8 +74,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def uncached_cost(jobs: DataFrame, cache: DataFrame) -> DataFrame:
-    """One row: the characters (UTF-16 units) of distinct jobs (from, to, text) that the cache lacks."""
-    todo = jobs.select("from", "to", "text").distinct().join(cache.select("from", "to", "text"), ["from", "to", "text"], "left_anti")
+    """One row: the characters (UTF-16 units) of distinct jobs (from, to, text) that the cache lacks; a cache without from or to holds for all of them."""
+    keys = [c for c in ("from", "to", "text") if c in cache.columns]
+    todo = jobs.select("from", "to", "text").distinct().join(cache.select(keys), keys, "left_anti")
     units = F.octet_length(F.encode("text", "UTF-16BE")) / 2
     return todo.agg(F.coalesce(F.sum(units.cast("long")), F.lit(0)).cast("long").alias("cost"))
 

@@ -259,3 +259,12 @@ def test_ingest_reads_each_page_once(spark, tmp_path):
         df.write.mode("append").parquet(str(tmp_path / "in"))
         ingest(page_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r.body for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["Body"]
+
+
+def test_budget_gate_knows_cached_texts_in_every_language(spark, tmp_path):
+    from bitloom.queries import QUERIES
+
+    rows = [(f"l{k}", "cached") for k in range(1_200)] + [(None, "cached"), ("l1", "new"), ("l1", "new"), ("l2", "new")]
+    spark.createDataFrame(rows, "lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "cached")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert QUERIES["budget_gate"](spark, str(tmp_path)).first()["cost"] == 6
