@@ -111,7 +111,10 @@ def _verify(ids: list[int], sets: list[np.ndarray], side: np.ndarray | None, thr
                 cells = np.zeros((n, len(who)), np.float32)
                 cells[who, np.arange(len(who))[:, None]] = 1
                 common += cells @ cells.T
-    ok = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-3
+    ok = np.empty((n, n), bool)
+    for k in range(0, n, 256):  # counts are whole numbers, exact in single precision
+        c = common[k : k + 256].astype(np.float64)
+        ok[k : k + 256] = c >= threshold * (size[k : k + 256, None] + size[None, :] - c) - 1e-9
     np.fill_diagonal(ok, False)
     if side is not None:
         ok &= side[:, None] != side[None, :]

@@ -57,7 +57,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 def tune(spark: SparkSession) -> None:
     """Bound what one Arrow batch can hold; rows here can be whole long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def row_key(*cols: str):
