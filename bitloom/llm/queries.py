@@ -58,8 +58,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = public_tokenizers.path
-    return token_counts(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,23 +1,26 @@
 """Token counts of whole texts: batch encoding in Arrow functions that return lengths only.
 
-A byte-level BPE encodes every pre-token by itself, so a text can be cut where a
-pre-token surely ends: before a single space between two characters that are
-not white space.  Texts are cut there into pieces of some kB, pieces are encoded
-in batches of equal bytes, and their counts added up by text.
-
-The library of a ``.json`` file is slow on one core.  Pieces whose characters
-all lie below U+0250, where both libraries' character classes were compared one
-by one (tests), are counted by the ``.tiktoken`` file of the same vocabulary,
-some seven times as fast; all other pieces go through the library itself.
+Texts go through the library of the tokenizer's file, in batches of about equal
+bytes.  Long texts are cut into pieces first, and the pieces' counts added up,
+but only for a byte-level BPE whose file proves the cuts safe:
+
+* before a space or line feed that follows a letter, mark, number or sign: no
+  pre-token of the byte-level pattern reaches from a sign into white space;
+* between two other characters, away from apostrophes, where no token of the
+  vocabulary holds the byte before the cut followed by the byte after it: every
+  merge makes a token, so none can reach over the cut.
+
+Any other kind of tokenizer gets whole texts.
 """
 
 from __future__ import annotations
 
-import base64
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,99 +28,134 @@ from pyspark.sql import functions as F
 
 from .spill import tune
 
-PIECE, BATCH = 32_000, 1 << 20
-_CUT = regex.compile(r"(?<=\S) (?=\S)")
-_BEYOND = regex.compile(r"[^\x00-ɏ]")
+PIECE, BATCH = 8_000, 1 << 20
+_CUT = regex.compile(r"(?<=[\p{L}\p{M}\p{N}\p{P}\p{S}])(?=[ \n])")
+_SOLID = regex.compile(r"[\p{L}\p{M}\p{N}\p{P}\p{S}]")
+
+
+def _byte_of() -> dict[str, int]:
+    """The bytes that the printable stand-ins of a byte-level vocabulary mean: printable Latin-1 characters are themselves, others follow from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(other)}
+
+
+def joined_bytes(spec: dict) -> np.ndarray | None:
+    """Which pairs of neighbouring bytes some token holds (256 x 256); None if the tokenizer is not a plain byte-level BPE, whose texts must stay whole."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and spec.get("normalizer") is None
+    bpe = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    added = spec.get("added_tokens") or []
+    if not (plain and bpe) or any(t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"\s", t["content"]) for t in added):
+        return None
+    meaning, pairs = _byte_of(), np.zeros((256, 256), bool)
+    tokens = [[meaning[c] for c in t] for t in model["vocab"] if all(c in meaning for c in t)] + [list(t["content"].encode()) for t in added]
+    for t in tokens:
+        pairs[t[:-1], t[1:]] = True
+    return pairs
 
 
 @lru_cache(4)
-def counter(path: str, fast_path: str | None):
-    """A function from a list of pieces to their token counts."""
+def counter(path: str) -> tuple[Callable[[list[str]], list[int]], np.ndarray | None]:
+    """A function from a list of texts to their token counts, and the byte pairs that must not be cut (None: nothing may)."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda pieces: [len(x) for x in model.encode(pieces, num_threads=1)]
+        return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)], None
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    with open(path, encoding="utf-8") as f:
+        pairs = joined_bytes(json.load(f))
+    return lambda texts: [len(e) for e in library.encode_batch_fast(texts, add_special_tokens=False)], pairs
 
-    def exact(pieces: list[str]) -> list[int]:
-        return [len(e) for e in library.encode_batch(pieces, add_special_tokens=False)]
-
-    if not fast_path:
-        return exact
-    import public_tokenizers
-    import tiktoken
-
-    with open(fast_path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    special = {t.content: k for k, t in library.get_added_tokens_decoder().items()}
-    fast = tiktoken.Encoding("bitloom", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-
-    def count(pieces: list[str]) -> list[int]:
-        slow = [k for k, p in enumerate(pieces) if _BEYOND.search(p)]
-        out = [0] * len(pieces)
-        for k, n in zip(slow, exact([pieces[k] for k in slow])) if slow else ():
-            out[k] = n
-        odd = set(slow)
-        for k, p in enumerate(pieces):
-            if k not in odd:
-                out[k] = len(fast.encode(p, allowed_special="all"))
-        return out
 
-    return count
+def _inside(text: str, start: int, stop: int, pairs: np.ndarray) -> int:
+    """The first safe place between two characters that are not white space, or -1."""
+    for k in range(start, stop):
+        a, b = text[k - 1], text[k]
+        if "'" not in text[max(0, k - 3) : k + 1] and not pairs[a.encode("utf-8", "replace")[-1], b.encode("utf-8", "replace")[0]] and _SOLID.match(a) and _SOLID.match(b):
+            return k
+    return -1
 
 
-def pieces_of(text: str, size: int = PIECE) -> list[str]:
-    """The text cut at safe boundaries into pieces of about ``size`` characters; a run without any stays whole."""
+def pieces_of(text: str, pairs: np.ndarray | None, size: int = PIECE) -> list[str]:
+    """The text cut at safe places into pieces of ``size`` characters or little more; a run without a safe place stays whole."""
     out, at = [], 0
-    while len(text) - at > size:
+    while pairs is not None and len(text) - at > size:
         m = _CUT.search(text, at + size)
-        if not m:
+        end = m.start() if m else len(text)
+        if end - at > 2 * size:
+            inside = _inside(text, at + size, end, pairs)
+            end = end if inside < 0 else inside
+        if end == len(text):
             break
-        out.append(text[at : m.start()])
-        at = m.start()
+        out.append(text[at:end])
+        at = end
     out.append(text[at:])
     return out
 
 
-def token_counts(docs: DataFrame, tokenizer: str, fast: str | None = None, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
+def _lengths(tokenizer: str, texts: pa.Array) -> pa.Array:
+    count, pairs = counter(tokenizer)
+    totals = np.zeros(len(texts), np.int64)
+    pending: list[str] = []
+    owners: list[int] = []
+    held = 0
+
+    def flush() -> None:
+        np.add.at(totals, owners, count(pending))
+
+    for k, text in enumerate(texts):
+        for piece in pieces_of(text.as_py() or "", pairs):
+            n = len(piece) if piece.isascii() else len(piece.encode())
+            if pending and held + n > BATCH:
+                flush()
+                pending, owners, held = [], [], 0
+            pending.append(piece)
+            owners.append(k)
+            held += n
+    if pending:
+        flush()
+    return pa.array(totals)
+
+
+def with_token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """docs with ``n_tokens`` (a column of that name is replaced): how many tokens each whole text has. A null text has none. No shuffle."""
+    tune(docs.sparkSession)
+    others = [c for c in docs.columns if c not in (text_col, "n_tokens")]
+    row = docs.select(F.struct(*others).alias("row") if others else F.struct(F.lit(0).alias("none")).alias("row"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lengths(tokenizer, batch.column(1))], names=["row", "text", "n_tokens"])
+
+    out = row.mapInArrow(run, f"row {row.schema['row'].dataType.simpleString()}, text string, n_tokens long")
+    own = {text_col: F.col("text")} | {c: F.col("row")[c] for c in others}
+    return out.select(*(own[c].alias(c) for c in docs.columns if c in own), "n_tokens")
+
+
+def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
     """Rows of (id, n_bytes, n_tokens, over_limit), one for each row of docs.
 
     ``tokenizer``: path of a ``.json`` (tokenizers) or ``.model`` (sentencepiece)
-    file that every executor can read; sentencepiece texts are not cut.
-    ``fast``: path of a ``.tiktoken`` file of the same vocabulary, or None.
-    No special tokens are added; special strings in a text count as the library
-    takes them by default.  A null text counts as empty: no bytes, no tokens.
-    Null ids, repeated rows and long texts are counted like any other; other
-    columns are ignored.
+    file that every executor can read.  No special tokens are added, nothing is
+    truncated or padded; special strings in a text count as the library takes
+    them by default.  A null text counts as empty: no bytes, no tokens.  Null
+    ids, repeated rows and long texts are counted like any other; other columns
+    are ignored.  A worker holds an Arrow batch, or one row that is longer.
     """
     tune(docs.sparkSession)
-    whole = tokenizer.endswith(".model")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    sized = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(tokenizer, fast)
         for batch in batches:
-            totals = [0] * batch.num_rows
-            pending: list[str] = []
-            owners: list[int] = []
-            held = 0
-            for k, text in enumerate(batch.column(1)):
-                for piece in [text.as_py() or ""] if whole else pieces_of(text.as_py() or ""):
-                    pending.append(piece)
-                    owners.append(k)
-                    held += len(piece)
-                    if held >= BATCH:
-                        for o, n in zip(owners, count(pending)):
-                            totals[o] += n
-                        pending, owners, held = [], [], 0
-            for o, n in zip(owners, count(pending)):
-                totals[o] += n
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(totals, pa.int64())], names=["id", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lengths(tokenizer, batch.column(1))], names=["id", "n_bytes", "n_tokens"])
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    counted = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
-    counted = counted.mapInArrow(run, "id long, n_bytes long, n_tokens long")
+    counted = sized.mapInArrow(run, "id long, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from bitloom.llm.decontaminate import decontaminate
 from bitloom.llm.line_dedup import line_dedup
 from bitloom.llm.ngram_join import jaccard_join
-from bitloom.llm.packing import pack, word_count
+from bitloom.llm.packing import pack
 from bitloom.llm.quality_rules import quality_rules
 from bitloom.llm.spill import materialise
+from bitloom.llm.token_counts import with_token_counts
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,11 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each with its bucket, batch and slot. Lengths are words, not tokens: see README, 5."""
-    return pack(docs, word_count())
+    """All documents, each with its tokens, bucket, batch and slot; texts are encoded once."""
+    import public_tokenizers
+
+    counted = materialise(with_token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
+    return pack(counted, F.col("n_tokens"))
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", benchmark), ("packing", packing)]

@@ -1,46 +1,69 @@
+import json
+import os
 import random
 
 import public_tokenizers
-from bitloom.llm.token_counts import counter, pieces_of, token_counts
+import pyarrow.parquet as pq
+import pytest
+from bitloom.llm import token_counts as T
+from bitloom.llm.token_counts import counter, joined_bytes, pieces_of, token_counts, with_token_counts
 from tokenizers import Tokenizer
 
-JSON, FAST = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-
-
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(JSON)
+PAIRS = counter(JSON)[1]
+SMALL = "/root/testdata/sf0.001/documents.parquet"
 
 
 def library(texts):
     return [len(e) for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_both_libraries_agree_below_u0250_in_all_contexts():
-    texts = []
-    for cp in range(0x250):
-        c = chr(cp)
-        texts += [c, c * 2, f"a{c}b", f"a {c} b", f"1{c}1", f"{c} x", f"x{c}", f".{c}.", f" {c}{c} ", f"'{c}", f"\n{c}\n{c}"]
-    rng = random.Random(3)
-    texts += ["".join(chr(rng.choice([rng.randrange(0x250), 32, 10, 97, 39, 0xA0, 0x85])) for _ in range(30)) for _ in range(5_000)]
-    assert counter(JSON, FAST)(texts) == library(texts)
-
-
 def test_cut_pieces_count_as_the_whole():
     rng = random.Random(5)
-    for _ in range(300):
-        text = "".join(rng.choice(["a", "bc", " ", "  ", "\n", "1", ".", "'s", "é", "ж", "<|endoftext|>", "　"]) for _ in range(200))
-        pieces = pieces_of(text, 7)
+    some = ["a", "bc", " ", "  ", "\n", "1", ".", "'s", "'", "é", "ж", "<|endoftext|>", "　", "漢", "字", "の", "\x85", "\x1c", "Qz", "́", "😀", "'re", "!"]
+    for round_ in range(600):
+        kinds = some if round_ % 2 else [x for x in some if x.strip()]
+        text = "".join(rng.choice(kinds) for _ in range(200))
+        pieces = pieces_of(text, PAIRS, 7)
         assert "".join(pieces) == text
+        assert sum(library(pieces)) == library([text])[0], pieces
+
+
+def test_long_runs_are_cut():
+    for text in ("漢字仮名" * 50_000, "word " * 60_000, "a, " * 30_000, "x1y2Zq" * 30_000):
+        pieces = pieces_of(text, PAIRS)
+        assert max(map(len, pieces)) < 3 * T.PIECE and "".join(pieces) == text
         assert sum(library(pieces)) == library([text])[0]
+    assert pieces_of(" " * 50_000, PAIRS) == [" " * 50_000]  # one pre-token
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        assert joined_bytes(json.load(f)) is None
+    assert pieces_of("word " * 60_000, counter(path)[1]) == ["word " * 60_000]
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="the given tables are not here")
+def test_all_given_documents_count_as_the_library_says(spark):
+    rows = pq.read_table(SMALL, columns=["doc_id", "text"]).to_pylist()
+    want = dict(zip((r["doc_id"] for r in rows), library([r["text"] or "" for r in rows])))
+    got = {r.doc_id: r.n_tokens for r in token_counts(spark.read.parquet(SMALL), JSON).collect()}
+    assert got == want
 
 
 def test_rows(spark):
-    texts = [None, "", "hello world", "a<|endoftext|>b", "ж" * 50, "word " * 30_000, "x" * 40_000, "hello world"]
+    texts = [None, "", "hello world", "a<|endoftext|>b", "ж" * 50, "word " * 30_000, "x" * 40_000, "hello world", "漢字" * 20_000]
     df = spark.createDataFrame([(i if i != 3 else None, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
-    rows = token_counts(df, JSON, FAST).collect()
+    rows = token_counts(df, JSON).collect()
     assert sorted(r.n_tokens for r in rows) == sorted(library([t or "" for t in texts]))
     assert all(r.over_limit == (r.n_tokens > 1024) for r in rows)
     assert sorted(r.n_bytes for r in rows) == sorted(len((t or "").encode()) for t in texts)
-    assert token_counts(df.limit(0), JSON, FAST).count() == 0
+    assert token_counts(df.limit(0), JSON).count() == 0
+    kept = with_token_counts(df, JSON).collect()
+    assert kept[0].asDict().keys() == {"doc_id", "text", "n_tokens"}
+    assert sorted((str(r.doc_id), str(r.text), r.n_tokens) for r in kept) == sorted((str(i if i != 3 else None), str(t), library([t or ""])[0]) for i, t in enumerate(texts))
 
 
 def test_sentencepiece(spark):
