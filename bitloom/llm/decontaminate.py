@@ -38,15 +38,22 @@ class Items:
         self.sets: list[np.ndarray] = []
         self.ids: list[int] = []
         by_class: dict[int, list[int]] = {}
+        brief: dict[int, list[tuple[int, int]]] = {}
         for i, j, part in scan(texts):
             words, at = part.words()
             sh, sh_at = shingles(words, at, size)
             for k in range(j - i):
-                if at[k + 1] - at[k] >= size:
+                n = int(at[k + 1] - at[k])
+                if n:
                     own = np.unique(sh[sh_at[k] : sh_at[k + 1]])
-                    by_class.setdefault(len(own).bit_length() - 1, []).append(len(self.sets))
+                    if n < size:
+                        brief.setdefault(n, []).append((int(own[0]), len(self.sets)))
+                    else:
+                        by_class.setdefault(len(own).bit_length() - 1, []).append(len(self.sets))
                     self.sets.append(own)
                     self.ids.append(ids[i + k])
+        # Items of fewer words than a shingle, by their number of words: their only shingle, sorted, and which they are.
+        self.brief = [(n, *(np.array(x, t) for x, t in zip(zip(*sorted(some)), (U, np.intp)))) for n, some in sorted(brief.items())]
         self.classes = []
         for c, members in sorted(by_class.items()):
             minima = np.array([[(self.sets[m] * self.seeds[2 * p] + self.seeds[2 * p + 1]).min() for m in members] for p in range(perms)])
@@ -109,16 +116,32 @@ class Items:
     def hits(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, int]]:
         """(row, item, found shingles) of each verified pair."""
         for i, j, texts in scan(column):
-            sh, at = shingles(*texts.words(), self.size)
+            words, starts = texts.words()
+            sh, at = shingles(words, starts, self.size)
             for t, m in sorted(self.candidates(sh, at)):
                 k = int(np.isin(self.sets[m], sh[at[t] : at[t + 1]]).sum())
                 if k >= threshold * len(self.sets[m]) - 1e-9:
                     yield i + t, m, k
+            for t, m in self.whole(words, starts):
+                yield i + t, m, 1
 
-
-def _blocks(items: DataFrame, item_id: str, item_text: str, size: int, perms: int, block: int) -> Iterator:
-    """Broadcast signatures of at most about ``block`` items at a time."""
-    parts = max(1, -(-items.count() // block))
+    def whole(self, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+        """(text, item) pairs where all words of an item of less than a shingle stand consecutively in the text."""
+        found = set()
+        for n, known, which in self.brief:
+            runs, runs_at = shingles(words, at, n)
+            places = np.flatnonzero(np.isin(runs, known))
+            owner = np.searchsorted(runs_at, places, "right") - 1
+            for t, h in {(int(t), int(h)) for t, h in zip(owner, runs[places])}:
+                lo, hi = np.searchsorted(known, U(h)), np.searchsorted(known, U(h), "right")
+                found.update((t, int(m)) for m in which[lo:hi])
+        return sorted(found)
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str, size: int, perms: int, block: int, block_bytes: int) -> Iterator:
+    """Broadcast signatures of at most about ``block`` items, and about ``block_bytes`` of their text, at a time."""
+    n, held = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0))).first()
+    parts = max(1, -(-n // block), -(-held // block_bytes))
     for part in range(parts):
         rows = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
         if parts > 1:
@@ -129,27 +152,30 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, size: int, perms: in
 
 def find_items(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-    size: int = 5, threshold: float = 0.8, perms: int = 48, block: int = 20_000,
+    size: int = 5, threshold: float = 0.8, perms: int = 48, block: int = 20_000, block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Rows of (id, item_id, n_shingles, n_found, containment) for each text that contains an item.
 
     Containment is the share of the item's distinct ``size``-word shingles that
     the whole text holds, ``threshold`` or more.  Words are
-    ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased.  Items with
-    fewer than ``size`` words (null and empty ones too) say too little and are
-    not searched; null and empty texts contain nothing.  Repeated rows of a text
-    or of an item give repeated results.  Other columns are ignored.
-
-    The items are dealt into blocks of about ``block`` rows, whose signatures
-    (some 1 kB each for 48 permutations, so 20 MB) go to every task; more items
-    mean more passes over the texts, not larger broadcasts.  The least similar
+    ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased.  An item with
+    fewer than ``size`` words is one shingle of them all: a text contains it
+    where they stand consecutively.  Items without words (null and empty ones
+    too) are in no text; null and empty texts contain nothing.  Repeated rows of
+    a text or of an item give repeated results.  Other columns are ignored.
+
+    The items are dealt into blocks of about ``block`` rows and ``block_bytes``
+    of text (one longer item is a block of its own).  A block goes to every task
+    as signatures (400 bytes an item for 48 permutations) and shingle sets (some
+    1.4 bytes for a byte of text), 30 MB in all; more items mean more passes over
+    the texts, not larger broadcasts.  The least similar
     case, 8 shingles contained to 0.8 in a window of 32, has a Jaccard similarity
     of 0.19: recall 1 - 0.81**perms, 0.9999 or more.
     """
     tune(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     out = None
-    for known in _blocks(items, item_id, item_text, size, perms, block):
+    for known in _blocks(items, item_id, item_text, size, perms, block, block_bytes):
 
         def search(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             bench = known.value
@@ -165,12 +191,12 @@ def find_items(
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-    size: int = 5, threshold: float = 0.8, perms: int = 48, block: int = 20_000,
+    size: int = 5, threshold: float = 0.8, perms: int = 48, block: int = 20_000, block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """The rows of docs, all columns, whose text contains no item as find_items() defines it; no shuffle."""
     tune(docs.sparkSession)
     at = docs.columns.index(text_col)
-    for known in _blocks(items, item_id, item_text, size, perms, block):
+    for known in _blocks(items, item_id, item_text, size, perms, block, block_bytes):
 
         def keep(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             for batch in batches:

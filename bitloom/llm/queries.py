@@ -103,12 +103,16 @@ SQL = {
         ), links AS (SELECT a, count(*) AS k FROM p GROUP BY a)
         SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(copy_id, doc_id) AS copy_id, coalesce(n_copies, 1) AS n_copies, coalesce(k, 0) AS n_links
         FROM d LEFT JOIN c ON c.w = d.w AND doc_id IS NOT NULL LEFT JOIN classes ON node = copy_id LEFT JOIN links ON a = copy_id""",
+    # A short item is one run of words, looked for among the texts' runs of as many.
     "op6_decontamination": f"""
         WITH i AS (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS w FROM benchmark
         ), d AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS w FROM documents
-        ), ig AS (SELECT i, item_id, len(g) AS n, unnest(g) AS g FROM (SELECT i, item_id, {_GRAMS} AS g FROM i WHERE len(w) >= 5)
-        ), dg AS (SELECT d, doc_id, unnest({_GRAMS}) AS g FROM d)
-        SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found, count(*) / n AS containment FROM ig JOIN dg USING (g)
+        ), ig AS (SELECT i, item_id, least(len(w), 5) AS size, len(g) AS n, unnest(g) AS g FROM (SELECT i, item_id, w, {_GRAMS} AS g FROM i WHERE len(w) > 0)
+        ), sizes AS (SELECT DISTINCT size FROM ig
+        ), dg AS (
+            SELECT d, doc_id, size, unnest(list_distinct(list_transform(range(0, len(w) - size + 1), lambda k: array_to_string(w[k + 1 : k + size], ' ')))) AS g
+            FROM d, sizes WHERE len(w) >= size)
+        SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_found, count(*) / n AS containment FROM ig JOIN dg USING (size, g)
         GROUP BY d, doc_id, i, item_id, n HAVING count(*) >= 0.8 * n - 1e-9""",
     # Every window against every template, without the filters of the join.
     "op3_license_scan": rf"""

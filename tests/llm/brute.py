@@ -70,11 +70,11 @@ def jaccard_classes(rows, threshold=0.8):
 def contained(rows, items, threshold=0.8):
     """Sorted (id, item, n, found)."""
     out = []
+    wanted = [(m, shingles(s), min(5, max(1, len(words(s))))) for m, s in items]
     for i, t in rows:
-        own = shingles(t)
-        for m, s in items:
-            want = shingles(s) if len(words(s)) >= 5 else set()
-            found = len(want & own)
+        own = {size: shingles(t, size) for size in {size for *_, size in wanted}}
+        for m, want, size in wanted:
+            found = len(want & own[size])
             if want and found >= threshold * len(want) - 1e-9:
                 out.append((i, m, len(want), found))
     return out

@@ -22,7 +22,7 @@ def test_run_and_stages(spark, tmp_path):
     labels = [(i, 1, 0) for i, _ in rows[:40] if i is not None] + [(500 + k, 0, 0) for k in range(6)]
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, passage), (2, None), (3, "item3 item4")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
 
     # the fitted verdict is taken from the operator; its rules are held in its own tests
     verdict = quality_rules(docs, spark.read.parquet(str(tmp_path / "labels.parquet"))).where("kept").collect()

@@ -78,13 +78,16 @@ def test_decontamination(spark, rows):
         if m % 3 == 0:
             part[rng.randrange(len(part))] = "changed"
         items.append((m, " ".join(part)))
-    items += [(90, None), (91, ""), (92, "w1 w2"), (3, items[3][1])]
+    items += [(90, None), (91, ""), (92, "w1 w2"), (93, "W1, x1 the"), (94, "nowhere"), (95, "Ünï"), (3, items[3][1])]
+    items.append((96, " ".join(long) + " " + "and so on it goes " * 40_000))  # 1 MB
+    rows = [*rows, (3000, items[-1][1] + " more"), (3001, "it is w1, x1 the")]
     df, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
     want = Counter(brute.contained(rows, items))
     got = find_items(df, bench)
     assert Counter(tuple(r)[:4] for r in got.collect()) == want and len(want) > 40
     assert Counter(tuple(r)[:4] for r in find_items(df, bench, block=10).collect()) == want
-    dirty = {t for i, t in rows if brute.contained([(i, t)], items)}
+    assert Counter(tuple(r)[:4] for r in find_items(df, bench, block_bytes=100_000).collect()) == want and {94, 96, 93} & {m for _, m, _, _ in want} == {96, 93}
+    dirty = {rows[k][1] for k, *_ in brute.contained([(k, t) for k, (_, t) in enumerate(rows)], items)}
     assert Counter((r.doc_id, r.text) for r in decontaminate(df, bench).collect()) == Counter((i, t) for i, t in rows if t not in dirty)
     assert find_items(df.limit(0), bench).count() == 0 and find_items(df, bench.limit(0)).count() == 0
 
