@@ -7,7 +7,7 @@ from bitloom.llm.line_dedup import line_dedup
 from bitloom.llm.ngram_join import jaccard_join
 from bitloom.llm.packing import pack
 from bitloom.llm.quality_rules import quality_rules
-from bitloom.llm.spill import materialise
+from bitloom.llm.spill import delete, fresh_path, materialise, scratch
 from bitloom.llm.token_counts import with_token_counts
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other; what a stage wrote on its way goes when its result is written, and that when the next one's is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
