@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from .packing import pack
 from .quality_rules import quality_rules
 from .spill import materialise
 from .token_counts import token_counts
-from .url_filter import url_filter
+from .url_filter import _NO_MARKUP, _REFRESH, url_filter
 from .warc import round_trip
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -89,6 +91,83 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 _WORDS = rf"list_filter(string_split_regex({_LOW}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 _GRAMS = "list_distinct(list_transform(range(0, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))"
 
+# The same reading of links as url_filter's, in RE2 and lists.
+_ENTITIES = "MAP {" + ", ".join(f"'{name[:-1]}': '{char.replace(chr(39), chr(39) * 2)}'" for name, char in html5.items() if name.endswith(";")) + "}"
+_HOST = r"translate(regexp_extract({0}, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_NODE = f"CASE WHEN {_HOST} <> '' THEN {_HOST} || CASE WHEN regexp_extract({{0}}, '^.*?://[^/?#]*([^#]*)', 1, 's') = '' THEN '/' ELSE regexp_extract({{0}}, '^.*?://[^/?#]*([^#]*)', 1, 's') END END"
+_VALUE = r"""(?:"([^"]*)"|''([^'']*)''|([^ \t\n\f\r>"''][^ \t\n\f\r>]*))"""
+_TAG = r"""[ \t\n\f\r/](?:[ \t\n\f\r/]|[^ \t\n\f\r>/=]+(?:[ \t\n\f\r]*=[ \t\n\f\r]*""" + _VALUE.replace("(", "(?:").replace("(?:?:", "(?:") + """)?)*>"""
+_ONE = r"[ \t\n\f\r/]*([^ \t\n\f\r>/=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*" + _VALUE + ")?"
+_RESOLVED = r"""CASE WHEN regexp_matches({t}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {t} WHEN starts_with({t}, '//') THEN regexp_extract({b}, '^(.*?)://', 1, 's') || ':' || {t}
+    WHEN starts_with({t}, '/') THEN {r} || {t} WHEN starts_with({t}, '?') THEN {r} || {p} || {t}
+    WHEN {t} = '' OR starts_with({t}, '#') THEN {r} || {p} || regexp_extract({b}, '^[^#]*?(\?[^#]*)', 1, 's') || {t} ELSE {r} || regexp_extract({p}, '^(.*)/[^/]*$', 1, 's') || '/' || {t} END"""
+
+
+def _resolved(target: str, base: str) -> str:
+    target = f"regexp_replace({target}, '[\\t\\n\\r]', '', 'g')"
+    return _RESOLVED.format(t=target, b=base, r=f"regexp_extract({base}, '^(.*?://[^/?#]*)', 1, 's')", p=f"regexp_extract({base}, '^.*?://[^/?#]*([^?#]*)', 1, 's')")
+
+
+_DOTS = r"""CASE WHEN regexp_matches({0}, '^.*?://[^?#]*/\.\.?(?:[/?#]|$)', 's') THEN regexp_extract({0}, '^(.*?://[^/?#]*)', 1, 's') || list_reduce(
+    list_concat([''], string_split(regexp_extract({0}, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '/')[2:]), lambda got, x: CASE WHEN x = '..' THEN regexp_replace(got, '/[^/]*$', '') WHEN x = '.' THEN got ELSE got || '/' || x END)
+    || CASE WHEN string_split(regexp_extract({0}, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '/')[-1] IN ('.', '..') THEN '/' ELSE '' END || regexp_extract({0}, '^.*?://[^/?#]*[^?#]*([?#].*)', 1, 's') ELSE {0} END"""
+_REFRESH_SQL = _REFRESH.replace("'", "''").replace("(?is)", "")
+_URL_SQL = rf"""
+    WITH RECURSIVE names AS (SELECT {_ENTITIES} AS known
+    ), p AS (
+        SELECT page_id, url, html, coalesce({_HOST.format("url")}, '') AS host, coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path, {_NODE.format("url")} AS node FROM pages
+    ), r(verdict, rule) AS (VALUES {", ".join(f"('{v}', '{rule}')" for v, rule in RULES)}
+    ), fits AS (
+        SELECT url, r.* FROM (SELECT DISTINCT url, host, path FROM p) p JOIN r ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+            AND starts_with(path, substr(rule, 1 + length(split_part(rule, '/', 1))))
+    ), best AS (SELECT url, arg_max(rule, (length(rule), verdict = 'allow')) AS rule, arg_max(verdict, (length(rule), verdict = 'allow')) AS verdict FROM fits GROUP BY 1
+    ), judged AS (SELECT p.*, rule, verdict FROM p LEFT JOIN best USING (url)
+    ), clean AS (
+        SELECT row_number() OVER () AS n, node, url, regexp_replace(html, '{_NO_MARKUP}', ' ', 'g') AS html FROM judged WHERE regexp_matches(html, '(?i)canonical|refresh')
+    ), tags AS (
+        SELECT n, node, url, kind, pos, tag FROM (
+            SELECT n, node, url, kind, unnest(found) AS tag, generate_subscripts(found, 1) AS pos
+            FROM (SELECT *, regexp_extract_all(html, '(?is)<' || kind || '{_TAG}') AS found FROM clean, (VALUES ('base'), ('link'), ('meta')) k(kind)))
+    ), read AS (
+        SELECT n, node, url, kind, pos, list_transform(regexp_extract_all(inside, '{_ONE}', 1, 's'), lambda x: lower(x)) AS names,
+               list_transform(list_zip(regexp_extract_all(inside, '{_ONE}', 2, 's'), regexp_extract_all(inside, '{_ONE}', 3, 's'), regexp_extract_all(inside, '{_ONE}', 4, 's')),
+                   lambda x: concat(x[1], x[2], x[3])) AS vals
+        FROM (SELECT *, substr(tag, 6, length(tag) - 6) AS inside FROM tags)
+    ), wanted AS (
+        SELECT n, node, url, kind, pos, a.name, vals[list_position(names, a.name)] AS v FROM read, (VALUES ('href'), ('rel'), ('http-equiv'), ('content')) a(name) WHERE list_contains(names, a.name)
+    ), decoded AS (
+        SELECT n, node, url, kind, pos, name, regexp_replace(string_split(v, '&')[1] || array_to_string(list_transform(string_split(v, '&')[2:], lambda x: CASE
+            WHEN regexp_matches(x, '^#[0-9]+;') AND try_cast(regexp_extract(x, '^#0*([0-9]*);', 1) AS BIGINT) BETWEEN 1 AND 1114111
+                AND NOT try_cast(regexp_extract(x, '^#0*([0-9]*);', 1) AS BIGINT) BETWEEN 55296 AND 57343
+                THEN chr(CAST(regexp_extract(x, '^#0*([0-9]*);', 1) AS INT)) || regexp_replace(x, '^#[0-9]+;', '')
+            WHEN regexp_matches(x, '^#[xX][0-9a-fA-F]+;') AND try_cast('0x' || regexp_extract(x, '^#[xX]0*([0-9a-fA-F]*);', 1) AS BIGINT) BETWEEN 1 AND 1114111
+                AND NOT try_cast('0x' || regexp_extract(x, '^#[xX]0*([0-9a-fA-F]*);', 1) AS BIGINT) BETWEEN 55296 AND 57343
+                THEN chr(CAST('0x' || regexp_extract(x, '^#[xX]0*([0-9a-fA-F]*);', 1) AS INT)) || regexp_replace(x, '^#[xX][0-9a-fA-F]+;', '')
+            WHEN regexp_matches(x, '^[0-9A-Za-z]+;') AND map_contains(known, regexp_extract(x, '^([0-9A-Za-z]+);', 1))
+                THEN map_extract(known, regexp_extract(x, '^([0-9A-Za-z]+);', 1))[1] || regexp_replace(x, '^[0-9A-Za-z]+;', '')
+            ELSE '&' || x END), ''), '^[ 	
+
+]+|[ 	
+
+]+$', '', 'g') AS v FROM wanted, names
+    ), own AS (SELECT n, node, url, kind, pos, max(v) FILTER (WHERE name = 'href') AS href, max(v) FILTER (WHERE name = 'rel') AS rel,
+            max(v) FILTER (WHERE name = 'http-equiv') AS equiv, max(v) FILTER (WHERE name = 'content') AS content FROM decoded GROUP BY ALL
+    ), bases AS (SELECT n, arg_min(href, pos) AS href FROM own WHERE kind = 'base' AND href IS NOT NULL GROUP BY n
+    ), based AS (SELECT n, {_resolved("bases.href", "clean.url")} AS u FROM bases JOIN clean USING (n)
+    ), targets AS (
+        SELECT n, node, url, href AS target FROM own WHERE kind = 'link' AND list_contains(string_split_regex(lower(rel), '[ 	
+
+]+'), 'canonical')
+        UNION ALL SELECT n, node, url, regexp_extract(content, '{_REFRESH_SQL}', 1, 'is') || regexp_extract(content, '{_REFRESH_SQL}', 2, 'is') || regexp_extract(content, '{_REFRESH_SQL}', 3, 'is')
+        FROM own WHERE kind = 'meta' AND lower(equiv) = 'refresh'
+    ), bases_of AS (SELECT t.*, coalesce({_DOTS.format("based.u")}, url) AS base FROM targets t LEFT JOIN based USING (n) WHERE target <> ''
+    ), full_urls AS (SELECT node AS a, {_resolved("target", "base")} AS u FROM bases_of
+    ), ends AS (SELECT a, {_DOTS.format("u")} AS u FROM full_urls
+    ), one AS (SELECT a, {_NODE.format("u")} AS b FROM ends
+    ), edge AS (SELECT a, b FROM one WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM one WHERE a IS NOT NULL AND b IS NOT NULL
+    ), caught AS (SELECT node FROM judged WHERE verdict = 'block' AND node IS NOT NULL UNION SELECT b FROM caught JOIN edge ON edge.a = caught.node)
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN node IN (SELECT node FROM caught) THEN 'block' ELSE 'allow' END) AS verdict FROM judged"""
+
 SQL = {
     # Every two classes that share a shingle, exactly.
     "op2_ngram_jaccard_join": f"""
@@ -134,35 +213,7 @@ SQL = {
                array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(more.l, [])))), ',') AS labels,
                CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(more.score, 0.0) END::DOUBLE AS score
         FROM d LEFT JOIN base USING (r) LEFT JOIN more USING (r)""",
-    "op10_url_filter": r"""
-        WITH RECURSIVE p AS (
-            SELECT page_id, url, html,
-                   coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-                   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
-                   regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest FROM pages
-        ), r(verdict, rule) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')
-        ), fits AS (
-            SELECT page_id, r.* FROM p JOIN r ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
-                AND starts_with(path, substr(rule, 1 + length(split_part(rule, '/', 1))))
-        ), best AS (SELECT page_id, arg_max(rule, (length(rule), verdict = 'allow')) AS rule, arg_max(verdict, (length(rule), verdict = 'allow')) AS verdict FROM fits GROUP BY 1
-        ), judged AS (SELECT p.*, CASE WHEN host <> '' THEN host || CASE WHEN rest = '' THEN '/' ELSE rest END END AS node, rule, verdict FROM p LEFT JOIN best USING (page_id)
-        ), tags AS (
-            SELECT node, url, regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS target
-            FROM (SELECT node, url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS t FROM judged)
-            WHERE lower(regexp_extract(t, '(?is)\brel\s*=\s*["'']?([^"''\s>]*)', 1)) = 'canonical'
-            UNION ALL
-            SELECT node, url, regexp_extract(t, '(?is)url\s*=\s*[''"]?([^"''\s>]+)', 1)
-            FROM (SELECT node, url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>')) AS t FROM judged)
-        ), full_urls AS (
-            SELECT node AS a, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
-                WHEN starts_with(target, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || target
-                ELSE regexp_replace(regexp_extract(url, '^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1, 's'), '([^/])$', '\1/') || target END AS u FROM tags WHERE target <> ''
-        ), ends AS (
-            SELECT a, translate(regexp_extract(u, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h, regexp_extract(u, '^.*?://[^/?#]*([^#]*)', 1, 's') AS rest FROM full_urls
-        ), one AS (SELECT a, h || CASE WHEN rest = '' THEN '/' ELSE rest END AS b FROM ends WHERE a IS NOT NULL AND h <> ''
-        ), edge AS (SELECT a, b FROM one UNION SELECT b, a FROM one
-        ), caught AS (SELECT node FROM judged WHERE verdict = 'block' UNION SELECT b FROM caught JOIN edge ON edge.a = caught.node)
-        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN node IN (SELECT node FROM caught) THEN 'block' ELSE 'allow' END) AS verdict FROM judged""",
+    "op10_url_filter": _URL_SQL,
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
         f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)

@@ -19,7 +19,13 @@ from .spill import row_key
 
 INLINE = 500
 _NAMES = json.dumps({name[:-1]: char for name, char in html5.items() if name.endswith(";")})
-_REFERENCE = r"^&(#?\w+);"
+_REFERENCE = r"^&(#?[0-9A-Za-z]+);"
+_WS = r" \t\n\f\r"
+# One attribute, or the tag's end, where the one before stopped: (1) the end, (2) name, (3) to (5) value by its quoting.
+_ATTRIBUTE = rf"""\G(?<!>)[{_WS}/]*+(?:(>)|([^{_WS}>/=]++)(?:[{_WS}]*+=[{_WS}]*+(?:"([^"]*+)"|'([^']*+)'|([^{_WS}>"'][^{_WS}>]*+)))?+)"""
+_RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "template")
+_NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(rf"<{t}\b[^>]*>.*?(?:</{t}\b|\z)" for t in _RAW)
+_REFRESH = rf"""(?is)^(?:[0-9.]+[{_WS}]*[;,{_WS}][{_WS}]*(?:url[{_WS}]*=[{_WS}]*)?|url[{_WS}]*=[{_WS}]*)(?:"([^"]*)"?.*|'([^']*)'?.*|(.*))"""
 
 
 def host_of(url: Column) -> Column:
@@ -36,46 +42,105 @@ def node_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host_of(url), F.when(rest == "", "/").otherwise(rest)))
 
 
+def _let(c: Column, body) -> Column:
+    """body(c) with c computed once."""
+    return F.transform(F.array(c), body)[0]
+
+
 def unescape(c: Column) -> Column:
-    """Character references decoded once, named ones by HTML's own table; unknown ones stay."""
+    """Character references that end in a semicolon, decoded once, named ones by HTML's own table; unknown ones stay."""
     names = F.from_json(F.lit(_NAMES), "map<string,string>")
 
     def one(part: Column) -> Column:
         reference = F.regexp_extract(part, _REFERENCE, 0)
-        known = F.coalesce(names[F.regexp_extract(part, _REFERENCE, 1)], decode_entities(reference))
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        known = F.when(name.startswith("#"), decode_entities(reference)).otherwise(F.coalesce(names[name], reference))
         return F.when(reference == "", part).otherwise(F.concat(known, F.regexp_replace(part, _REFERENCE, "")))
 
     return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "(?=&)", -1), one), "")).otherwise(c)
 
 
+def _tags(html: Column, name: str) -> Column:
+    """The attributes of every such tag that ends, as (kind, names in lower case, values); quoted values may hold any sign. Linear, whatever the tags' length."""
+
+    def read(piece: Column) -> Column:
+        group = lambda k: F.regexp_extract_all(piece, F.lit(_ATTRIBUTE), F.lit(k))
+        value = F.transform(F.arrays_zip(group(3).alias("a"), group(4).alias("b"), group(5).alias("c")), lambda v: F.concat(v["a"], v["b"], v["c"]))
+        return F.struct(F.lit(name).alias("kind"), F.array_position(group(1), ">").cast("int").alias("end"), F.transform(group(2), lambda x: F.lower(x)).alias("names"), value.alias("values"))
+
+    pieces = F.split(html, rf"(?i)<{name}(?=[{_WS}/>])", -1)
+    return F.filter(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), read), lambda t: t["end"] > 0)
+
+
+def _attribute(names: Column, values: Column, name: Column) -> Column:
+    """The value of the first attribute of that name; null if there is none."""
+    at = F.array_position(names, name).cast("int")
+    return F.when(at > 0, F.element_at(values, F.when(at > 0, at)))
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """The url that a reference means on a page at ``base``, with dot segments worked in; null if either is."""
+
+    def parts_of(x: Column) -> Column:
+        b = x["base"]
+        return F.struct(
+            F.regexp_replace(x["target"], r"[\t\n\r]", "").alias("t"), F.regexp_extract(b, r"(?s)^(.*?)://", 1).alias("scheme"), F.regexp_extract(b, r"(?s)^(.*?://[^/?#]*)", 1).alias("root"),
+            F.regexp_extract(b, r"(?s)^.*?://[^/?#]*([^?#]*)", 1).alias("path"), F.regexp_extract(b, r"(?s)^[^#]*?(\?[^#]*)", 1).alias("query"),
+        )
+
+    def joined(x: Column) -> Column:
+        t, root, path = x["t"], x["root"], x["path"]
+        return (
+            F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), t)
+            .when(t.startswith("//"), F.concat(x["scheme"], F.lit(":"), t))
+            .when(t.startswith("/"), F.concat(root, t))
+            .when(t.startswith("?"), F.concat(root, path, t))
+            .when((t == "") | t.startswith("#"), F.concat(root, path, x["query"], t))
+            .otherwise(F.concat(root, F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1), F.lit("/"), t))
+        )
+
+    def without_dots(whole: Column) -> Column:
+        start, rest = F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*[^?#]*([?#].*)", 1)
+        step = lambda got, x: F.when(x == "..", F.regexp_replace(got, r"/[^/]*\z", "")).when(x == ".", got).otherwise(F.concat(got, F.lit("/"), x))
+        walk = lambda parts: F.concat(
+            F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), F.lit(""), step), F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+        )
+        walked = _let(F.split(F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), "/", -1), walk)
+        return F.when(whole.rlike(r"(?s)^.*?://[^?#]*/\.\.?(?:[/?#]|\z)"), F.concat(start, walked, rest)).otherwise(whole)
+
+    return _let(_let(_let(F.struct(target.alias("target"), base.alias("base")), parts_of), joined), without_dots)
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges (a, b) between resources: a canonical link, or a redirect by meta refresh, from a page's html.
 
-    Tags may be of any length.  ``rel`` is a list of words, references in targets
-    are decoded, and relative targets are resolved.
+    Comments, scripts and other elements whose content is no markup are passed
+    over.  Tags and attributes may be of any length, in any order and quoting;
+    ``rel`` is a list of words; references are decoded; relative targets are
+    resolved against the page's first ``base`` element, or its url.
     """
-    html, url = F.col(html_col), F.col(url_col)
-    # A tag without an end runs to the end of the page, so that no part of it is searched again, and is left out.
-    tags = lambda name: F.filter(F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\b[^>]*+(?:>|\z)"), F.lit(0)), lambda t: t.endswith(">"))
-    href = lambda t: F.regexp_extract(t, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]*)""", 1)
-    value = r"""(?is)\brel\s*+=\s*+(?:"([^">]*)|'([^'>]*)|([^\s"'>]+))"""
-    rel = lambda t: F.split(F.lower(F.concat(*(F.regexp_extract(t, value, k) for k in (1, 2, 3)))), r"\s+")
-    canonical = F.transform(F.filter(tags("link"), lambda t: F.array_contains(rel(t), "canonical")), href)
-    refresh = F.transform(
-        F.filter(tags("meta"), lambda t: t.rlike(r"""(?is)http-equiv\s*+=\s*+["']?refresh""")),
-        lambda t: F.regexp_extract(t, r"""(?is)url\s*=\s*['"]?([^"'\s>]+)""", 1),
-    )
-    target = F.col("target")
-    root = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    here = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    full = (
-        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(root, target))
-        .otherwise(F.concat(F.when(here.endswith("/"), here).otherwise(F.concat(here, F.lit("/"))), target))
-    )
-    edges = pages.where(html.rlike(r"(?i)canonical|refresh")).select(url_col, F.explode(F.transform(F.concat(canonical, refresh), unescape)).alias("target"))
-    return edges.where("target != ''").select(node_of(url).alias("a"), node_of(full).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    html, url = F.regexp_replace(F.col(html_col), _NO_MARKUP, " "), F.col("url")
+    pages = pages.where(F.col(html_col).rlike(r"(?i)canonical|refresh")).select(F.col(url_col).alias("url"), html.alias("html"))
+    bases = F.filter(_tags(F.col("html"), "base"), lambda t: F.array_contains(F.slice(t["names"], 1, t["end"]), "href"))
+    found = pages.select("url", F.get(bases, F.lit(0)).alias("base"), F.explode(F.concat(_tags(F.col("html"), "link"), _tags(F.col("html"), "meta"))).alias("t"))
+    names, values, link = F.slice("t.names", 1, F.col("t.end")), F.col("t.values"), F.col("t.kind") == "link"
+    raw = [_attribute(names, values, F.when(link, one).otherwise(other)) for one, other in (("rel", "http-equiv"), ("href", "content"))]
+    raw = F.array(*raw, _attribute(F.col("base.names"), F.col("base.values"), F.lit("href")))
+    clean = F.transform(raw, lambda v: F.regexp_replace(unescape(v), rf"\A[{_WS}]+|[{_WS}]+\z", ""))
+
+    def meant(v: Column) -> Column:
+        redirect = F.concat(*(F.regexp_extract(v[1], _REFRESH, k) for k in (1, 2, 3)))
+        canonical = link & F.array_contains(F.split(F.lower(v[0]), rf"[{_WS}]+"), "canonical")
+        return F.struct(F.when(canonical, v[1]).when(~link & (F.lower(v[0]) == "refresh"), redirect).alias("target"), v[2].alias("base"))
+
+    def reached(x: Column) -> Column:
+        base = F.when(x["base"].isNull(), url).otherwise(resolve(x["base"], url))
+        return F.when(x["target"] != "", _let(resolve(x["target"], base), node_of))
+
+    # The explode keeps what follows from being pushed into, and so repeated in, the expressions above.
+    edge = F.struct(node_of(url).alias("a"), _let(_let(clean, meant), reached).alias("b"))
+    edges = found.select(F.explode(F.filter(F.array(edge), lambda e: e["a"].isNotNull() & e["b"].isNotNull())).alias("e"))
+    return edges.select("e.a", "e.b")
 
 
 def _best(a: Column) -> Column:
