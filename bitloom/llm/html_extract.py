@@ -22,55 +22,102 @@ from pyspark.sql import functions as F
 from .spill import tune
 
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^<>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']+|"[^"<]*"|'[^'<]*')*+|[^<>]*)>""", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-_HIDDEN = re.compile(r"""\shidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 _INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 _CLOSES_P = set("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-_NEVER = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "object", "canvas"}
+# Elements that hold no prose, and those that seldom do.
+_NEVER = {"form", "button", "select", "head", "object", "canvas"}
+_SELDOM = {"nav", "footer", "aside", "menu", "dialog"}
+_ARTICLE = {"article", "main"}
+# An id names what an element is for on these only; on headings and paragraphs it is the place that a link leads to.
+_BOX = {"div", "section", "ul", "ol", "dl", "table", "aside", "nav", "header", "footer", "main", "article", "fieldset", "center"}
 _BAD = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie "
     "cookies consent gdpr notice notices alert popup modal overlay share sharing social related recommended comment comments disqus reply replies respond newsletter subscribe "
     "signup login widget widgets pagination pager toolbar skip copyright legal complementary contentinfo search".split()
 )
 _GOOD = set("article articlebody content post entry story main maincontent body text prose".split())
+_ABOUT = {"has", "no", "with", "without", "not", "hide", "show", "toggle"}  # a name of these says what is beside it, not in it
+HIDDEN = "hidden"
 BIG = 1 << 30
-# What a bad name costs a block inside: on a wrapper of the page, and on a box with an article of its own, which few articles outweigh.
-WRAPPED, BOXED = 0.2, 6.0
+# Costs of calling a block content: in a box that boilerplate stands in; in or on one that has an article of its own inside; on a wrapper of the page.
+BOILERPLATE, BOXED, WRAPPED = 9.0, 6.0, 0.2
+
+
+class Node:
+    """An element that holds blocks. ``words``: unlinked words in it, all depths."""
+
+    __slots__ = ("parent", "tag", "names", "depth", "words", "first", "inside", "above", "below", "never", "headers")
+
+    def __init__(self, parent: Node | None, tag: str, names: frozenset):
+        self.parent, self.tag, self.names = parent, tag, names
+        self.depth = parent.depth + 1 if parent else 0
+        self.words, self.first = 0, False
 
 
 class Block:
-    __slots__ = ("text", "linked", "path", "tag", "score")
+    """A run of text. ``meet``: how deep the elements are that it shares with the block before."""
+
+    __slots__ = ("text", "linked", "node", "meet", "score")
 
-    def __init__(self, text: str, linked: int, path: list, tag: str):
-        self.text, self.linked, self.path, self.tag = text, linked, path, tag
+    def __init__(self, text: str, linked: int, node: Node, meet: int):
+        self.text, self.linked, self.node, self.meet = text, linked, node, meet
 
 
-def blocks_of(html: str) -> list[Block]:
-    """The page's blocks of visible text in order; path: the open elements, outermost first, as (number, kind, names)."""
+def names_of(tag: str, attributes: str) -> frozenset:
+    """What an element's class, role and (on boxes) id call it, as words in lower case, and HIDDEN."""
+    out = set()
+    seen = set()
+    for name, *value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(value)
+        if name in seen:
+            continue
+        seen.add(name)
+        if name in ("class", "role") or (name == "id" and tag in _BOX):
+            for token in value.split():
+                parts = {x.lower() for x in _PART.findall(token)}
+                out |= parts - _BAD if parts & _ABOUT else parts
+        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _UNSEEN.search(value)):
+            out.add(HIDDEN)
+    return frozenset(out)
+
+
+def blocks_of(html: str) -> tuple[list[Block], list[Node]]:
+    """The page's blocks of visible text in order, and its elements, outer before inner. Linear in the page, however deep it nests."""
     out: list[Block] = []
-    stack: list[tuple[int, str, frozenset]] = [(0, "", frozenset())]
+    nodes = [Node(None, "", frozenset())]
+    stack = nodes[:]
+    open_: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
-    links, serial, at = 0, 0, 0
+    links, at, low = 0, 0, 0
 
     def flush() -> None:
-        nonlocal parts
+        nonlocal parts, low
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                out.append(Block(text, sum(len(p) for p, a in parts if a), stack[:], stack[-1][1]))
+                out.append(Block(text, sum(len(p) for p, a in parts if a), stack[-1], low))
+                low = len(stack) - 1
             parts = []
 
-    def close(tag: str, names: set, stops: set) -> None:
+    def close(names: set, stops: set) -> None:
+        nonlocal low
+        if not any(open_.get(x) for x in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][1] in names:
+            if stack[k].tag in names:
+                for node in stack[k:]:
+                    open_[node.tag] -= 1
                 del stack[k:]
+                low = min(low, k - 1)
                 return
-            if stack[k][1] in stops:
+            if stack[k].tag in stops:
                 return
 
     while at < len(html):
@@ -90,7 +137,7 @@ def blocks_of(html: str) -> list[Block]:
                 links = max(0, links - 1)
             elif tag not in _INLINE:
                 flush()
-                close(tag, {tag}, set())
+                close({tag}, set())
                 links = 0
             continue
         if tag in _RAW:
@@ -106,79 +153,83 @@ def blocks_of(html: str) -> list[Block]:
             continue
         links = 0
         if tag in _CLOSES_P:
-            close(tag, {"p"}, {"td", "th", "button", "object", "table"})
+            close({"p"}, {"td", "th", "button", "object", "table"})
         if tag in _SAME:
-            close(tag, _SAME[tag], _SCOPE[tag])
-        serial += 1
-        names = frozenset()
-        if m[3].strip():
-            found = " ".join(x for t in _NAMED.findall(m[3]) for x in t)
-            names = frozenset(x.lower() for x in _PART.findall(found))
-            if _HIDDEN.search(m[3]):
-                names |= {"ad"}
-        stack.append((serial, tag, names))
+            close(_SAME[tag], _SCOPE[tag])
+        node = Node(stack[-1], tag, names_of(tag, m[3]) if m[3].strip() else frozenset())
+        open_[tag] = open_.get(tag, 0) + 1
+        nodes.append(node)
+        stack.append(node)
     flush()
-    return out
+    return out, nodes
 
 
-def wrappers_of(blocks: list[Block]) -> set[int]:
-    """Elements around the page's text whatever their names say.
+def frame(blocks: list[Block], nodes: list[Node]) -> bool:
+    """Tell each element what surrounds it; whether a block of the page stands in an article or main element.
 
-    They hold half of its unlinked words and its first article or main element,
-    or, where there is none, four fifths of the words.
+    Wrappers are elements around the page's text whatever their names say: they
+    hold half of its unlinked words and its first article or main element, or,
+    where there is none, four fifths of the words.
     """
-    held: dict[int, int] = {}
-    total, first = 0, None
     for b in blocks:
-        words = round((b.text.count(" ") + 1) * (1 - b.linked / max(len(b.text), 1)))
-        total += words
-        for number, _, _ in b.path:
-            held[number] = held.get(number, 0) + words
-        if first is None and any(tag in ("article", "main") for _, tag, _ in b.path):
-            first = {number for number, _, _ in b.path}
-    return {number for number, words in held.items() if (5 * words >= 4 * total if first is None else 2 * words >= total and number in first)}
-
-
-def score_of(block: Block, framed: bool, wrappers: set[int]) -> float:
+        b.node.words += round((b.text.count(" ") + 1) * (1 - b.linked / max(len(b.text), 1)))
+    for node in reversed(nodes[1:]):
+        node.parent.words += node.words
+    total, framed = nodes[0].words, False
+    holds: set[int] = set()
+    for node in nodes:
+        if node.tag in _ARTICLE or (node.parent and id(node.parent) in holds):
+            holds.add(id(node))
+    for b in blocks:
+        if id(b.node) in holds:
+            framed = True
+            up = b.node
+            while up:
+                up.first, up = True, up.parent
+            break
+    root = nodes[0]
+    root.inside, root.above, root.below, root.never, root.headers = False, 0.0, 0.0, False, 0
+    for n in nodes[1:]:
+        up = n.parent
+        wraps = 2 * n.words >= total and n.first if framed else 5 * n.words >= 4 * total
+        bad = bool(n.names & _BAD) and n.tag not in ("html", "body")
+        n.never = up.never or n.tag in _NEVER or HIDDEN in n.names
+        n.inside, n.above, n.below, n.headers = up.inside, up.above, up.below, up.headers
+        if n.tag in _ARTICLE or (n.names & _GOOD and not bad):
+            # What was a box of boilerplate so far has an article inside.
+            n.inside, n.below = True, 0.0
+            n.above = max(n.above, BOXED if up.below else 0.0, (WRAPPED if wraps else BOXED) if bad else 0.0)
+            n.above += float(n.headers)
+            n.headers = 0
+        elif bad and wraps and not n.inside:
+            n.above = max(n.above, WRAPPED)
+        elif bad and wraps and n.first:
+            n.above = max(n.above, WRAPPED)
+        elif bad or n.tag in _SELDOM:
+            n.below = BOILERPLATE
+        elif n.tag == "header" and not n.inside:
+            n.below, n.headers = BOILERPLATE, 1
+    return framed
+
+
+def score_of(block: Block, framed: bool) -> float:
     """What speaks for content (over 0) or boilerplate; framed: the page has an article or main element.
 
-    A bad name vetoes what stands in its box, unless the box is one of
-    ``wrappers`` or has the block's article inside: those cost something, less
-    for wrappers, and words, links and articles count on.
+    Every cost is finite, so that neighbours can outvote it, but in elements that
+    hold no prose and hidden ones.
     """
-    inside = -1
-    for k, (_, tag, names) in enumerate(block.path):
-        if tag in ("article", "main") or (names & _GOOD and not names & _BAD):
-            inside = k
-    score, penalty = 0.0, 0.0
-    for k, (number, tag, names) in enumerate(block.path):
-        if tag in _NEVER or (tag == "header" and inside < 0):
-            return -BIG if k > inside or tag in ("form", "button", "select", "head") or inside < 0 else -2.0
-        if names & _BAD and tag not in ("html", "body"):
-            if k <= inside or (inside < 0 and number in wrappers):
-                penalty = max(penalty, WRAPPED if number in wrappers else BOXED)
-            else:
-                return -BIG
-        if tag == "header" and k < inside:
-            score -= 1.0
-    score -= penalty
+    n = block.node
+    if n.never:
+        return -BIG
     words = block.text.count(" ") + 1
     density = block.linked / max(len(block.text), 1)
-    score += 3.0 if inside >= 0 else -3.0 if framed else 0.0
+    score = 3.0 if n.inside else -3.0 if framed else 0.0
     score += min(2.0, 0.12 * words) - 0.7 - 4.0 * min(1.0, density)
-    if block.tag in ("p", "blockquote", "pre"):
+    if n.tag in ("p", "blockquote", "pre"):
         score += 0.6
     if block.text[-1] in ".!?…。！？”\"":
         score += 0.3
-    return score
-
-
-def _proximity(a: Block, b: Block) -> float:
-    """Near 1 for blocks of one parent, halved for each element to leave or enter."""
-    k = 0
-    while k < len(a.path) and k < len(b.path) and a.path[k][0] == b.path[k][0]:
-        k += 1
-    return 0.5 ** (max(0, len(a.path) - 1 - k) + max(0, len(b.path) - 1 - k))
+    return score - n.below - n.above
 
 
 class Flow:
@@ -241,33 +292,36 @@ class Flow:
         return [v >= 0 for v in level]
 
 
-def label(blocks: list[Block], smooth: float = 0.8) -> list[bool]:
-    """Which blocks are content, by the minimum cut."""
-    framed = any(tag in ("article", "main") for b in blocks for _, tag, _ in b.path)
-    wrappers = wrappers_of(blocks)
-    n = len(blocks)
-    flow = Flow(n + 2)
-    last: dict[int, int] = {}
+def edges_of(blocks: list[Block], smooth: float) -> list[tuple[int, int, int]]:
+    """(block, later block, weight): neighbours in the page, and blocks whose elements are next under one parent; halved for each element to leave or enter."""
+    out, last = [], {}
     for k, b in enumerate(blocks):
-        b.score = score_of(b, framed, wrappers)
-        cost = min(BIG, round(abs(b.score) * 1000))
-        flow.edge(*((n, k) if b.score > 0 else (k, n + 1)), cost)
-        near = {}
+        parent = id(b.node.parent)
         if k:
-            near[k - 1] = _proximity(blocks[k - 1], b)
-        parent = b.path[-2][0] if len(b.path) > 1 else 0
+            steps = max(0, blocks[k - 1].node.depth - 1 - b.meet) + max(0, b.node.depth - 1 - b.meet)
+            out.append((k - 1, k, round(0.5 ** min(steps, 60) * smooth * 1000)))
         if parent in last and last[parent] != k - 1:
-            near[last[parent]] = _proximity(blocks[last[parent]], b)
+            out.append((last[parent], k, round(smooth * 1000)))
         last[parent] = k
-        for j, w in near.items():
-            if (w := round(w * smooth * 1000)) > 0:
-                flow.edge(j, k, w, w)
+    return [e for e in out if e[2] > 0]
+
+
+def label(blocks: list[Block], nodes: list[Node], smooth: float = 0.8) -> list[bool]:
+    """Which blocks are content, by the minimum cut."""
+    framed = frame(blocks, nodes)
+    n = len(blocks)
+    flow = Flow(n + 2)
+    for k, b in enumerate(blocks):
+        b.score = score_of(b, framed)
+        flow.edge(*((n, k) if b.score > 0 else (k, n + 1)), min(BIG, round(abs(b.score) * 1000)))
+    for j, k, w in edges_of(blocks, smooth):
+        flow.edge(j, k, w, w)
     return flow.cut(n, n + 1)[:n]
 
 
 def main_text(html: str | None) -> str:
-    blocks = blocks_of(html or "")
-    return "\n".join(b.text for b, keep in zip(blocks, label(blocks)) if keep)
+    blocks, nodes = blocks_of(html or "")
+    return "\n".join(b.text for b, keep in zip(blocks, label(blocks, nodes)) if keep)
 
 
 def html_extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
