@@ -70,54 +70,37 @@ def _strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)).cast("array<string>")
 
 
-def license_scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=tuple(TEMPLATES), phrases=tuple(PHRASES), threshold: float = 0.85, window: int = 64, every: bool = False
-) -> DataFrame:
-    """Rows of (id, n_words, n_base, first_word, last_word, base_labels, labels, score), one for each row of docs.
+SHORT, MANY = 64, 200  # the least window, in words; how many tokens are looked for by one pattern
 
-    Blocks are windows of ``window`` words, each half over the next, so a notice
-    of up to half a window lies whole in one; together they cover the text.  A
-    template is found in a block that holds ``threshold`` of its distinct tokens
-    or more; of one family the best found in a block counts (the greater share,
-    then the longer template); with ``every`` also all that it holds to the last
-    token, but for those whose tokens are a part of another such one's, unless
-    their own pairs of neighbouring words, which that one lacks, stand there too
-    (none: they count).  ``labels`` joins the found ones and those of
-    phrases whose words stand consecutively (``base_labels``, n_base places,
-    first_word, last_word: their smallest and largest word position, else
-    null).  ``score``: the greatest share found, 1 where a phrase stands, else 0.
 
-    Null and empty texts have no words and no labels; repeated rows and null ids
-    are rows like any other; other columns are ignored.  At most 100 templates
-    of half a window each are taken, so what is broadcast and collected is bounded.
-    """
-    sets = [(label, family, list(dict.fromkeys(text.split()))) for label, family, text in templates]
-    if len(sets) > 100 or any(len(text.split()) * 2 > window for *_, text in templates):
-        raise ValueError("at most 100 templates of at most half a window of words each")
-    k1, k2 = row_key("id", "text")
-    vocabulary = sorted({t for *_, tokens in sets for t in tokens})
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", k1, k2, text.alias("text"), F.lower(text).alias("low"))
+def window_of(text: str) -> int:
+    """Words in the windows that a template is looked for in: twice its own at least, in powers of two."""
+    return max(SHORT, 1 << (2 * len(text.split()) - 1).bit_length())
 
-    # Counted on lower(): the order decides what is looked at first, not what is found.
-    held = rows.select(F.explode(F.array_intersect(_strings(vocabulary), F.split("low", f"{_APART}+", -1))).alias("token")).groupBy("token").count()
-    often = {r["token"]: r["count"] for r in held.collect()}
-    order = sorted(vocabulary, key=lambda t: (often.get(t, 0), t))
-    rank = {t: k for k, t in enumerate(order)}
+
+def _found(rows: DataFrame, templates: list[tuple[str, str, str]], rank: dict[str, int], threshold: float, window: int, every: bool) -> DataFrame:
+    """(_k1, _k2, label, score) of the templates that windows of the rows' texts hold; see license_scan()."""
+    sets = [(label, family, list(dict.fromkeys(text.split()))) for label, family, text in templates]
+    order = sorted({t for *_, tokens in sets for t in tokens}, key=rank.get)
     index = []
     beside = [set(zip(text.split(), text.split()[1:])) for *_, text in templates]
     # For each template the numbers of those of its family that have all its tokens and more, and the pairs that tell it from them.
-    over = [
-        [(b, sorted(map(" ".join, beside[a] - beside[b]))) for b, (_, other, more) in enumerate(sets) if other == family and set(tokens) < set(more)] for a, (_, family, tokens) in enumerate(sets)
-    ]
+    kin: dict[str, list[int]] = {}
+    for b, (_, family, _) in enumerate(sets):
+        kin.setdefault(family, []).append(b)
+    over = [[(b, sorted(map(" ".join, beside[a] - beside[b]))) for b in kin[family] if set(tokens) < set(sets[b][2])] for a, (_, family, tokens) in enumerate(sets)]
     telling = sorted({p for x in over for _, pairs in x for p in pairs}) if every else []
     for a, (label, family, tokens) in enumerate(sets):
         tokens, need = sorted(tokens, key=rank.get), math.ceil(threshold * len(tokens) - 1e-9)
         index += [(t, label, family, tokens, need, j, a, over[a]) for j, t in enumerate(tokens[: len(tokens) - need + 1])]
     schema = "token string, label string, family string, tokens array<string>, need int, j int, number int, over array<struct<number:int,pairs:array<string>>>"
-    index_df = docs.sparkSession.createDataFrame(index, schema)
+    index_df = rows.sparkSession.createDataFrame(index, schema)
+    if sum(len(x[3]) for x in index) <= 100_000:  # some MB
+        index_df = F.broadcast(index_df)
 
-    near = rows.where(_holds(F.col("low"), [t[0] for t in index])).select("_k1", "_k2", "text").distinct()
+    first = sorted({t[0] for t in index})
+    held = _holds(F.col("low"), first) if len(first) <= MANY else F.arrays_overlap(F.split("low", f"{_APART}+", -1), _strings(first))
+    near = rows.where(held).select("_k1", "_k2", "text").distinct()
     step = window // 2
 
     def windows(words: Column) -> Column:
@@ -130,7 +113,7 @@ def license_scan(
     cut = _let(normalised(F.col("text")), lambda norm: _let(_words(norm), windows))
     blocks = near.select("_k1", "_k2", F.posexplode(cut).alias("block", "cut")).select("_k1", "_k2", "block", "cut.own", "cut.stand")
     probes = blocks.select("_k1", "_k2", "block", "own", "stand", F.posexplode("own").alias("i", "token"))
-    pairs = probes.join(F.broadcast(index_df), "token")
+    pairs = probes.join(index_df, "token")
     left = 1 + F.least(F.size("own") - F.col("i") - 1, F.size("tokens") - F.col("j") - 1)
     pairs = pairs.where((F.size("own") >= F.col("need")) & (left >= F.col("need")))
     shared = F.size(F.array_intersect("own", "tokens"))
@@ -145,7 +128,51 @@ def license_scan(
         best = best.select("_k1", "_k2", "hit", F.explode(F.array_union(F.array("hit.label"), more)).alias("label"))
     else:
         best = best.agg(F.max("hit").alias("hit")).select("_k1", "_k2", "hit", "hit.label")
-    own = best.groupBy("_k1", "_k2").agg(F.collect_set("label").alias("more"), F.max("hit.score").alias("share"))
+    return best.select("_k1", "_k2", "label", F.col("hit.score").alias("score"))
+
+
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=tuple(TEMPLATES), phrases=tuple(PHRASES), threshold: float = 0.85, every: bool = False) -> DataFrame:
+    """Rows of (id, n_words, n_base, first_word, last_word, base_labels, labels, score), one for each row of docs.
+
+    Blocks are windows of at least 64 words and twice a template's, each half
+    over the next, so a notice lies whole in one; together they cover the text.
+    Templates are any number of (label, family, words) of any length; those of
+    one window size are searched together.  A template is found in a block that
+    holds ``threshold`` of its distinct tokens or more; of one family and window
+    size the best found in a block counts (the greater share, then the longer
+    template); with ``every`` also all that it holds to the last token, but for
+    those whose tokens are a part of another such one's, unless their own pairs
+    of neighbouring words, which that one lacks, stand there too (none: they
+    count).  ``labels`` joins the found ones and those of phrases whose words
+    stand consecutively (``base_labels``, n_base places, first_word, last_word:
+    their smallest and largest word position, else null).  ``score``: the
+    greatest share found, 1 where a phrase stands, else 0.
+
+    Null and empty texts have no words and no labels; repeated rows and null ids
+    are rows like any other; other columns are ignored.  The templates are the
+    caller's list, so they fit the driver; from about 100,000 tokens in all on
+    their index is joined by a shuffle instead of broadcast.
+    """
+    k1, k2 = row_key("id", "text")
+    templates = [t for t in templates if t[2].split()]
+    vocabulary = sorted({t for *_, words in templates for t in words.split()})
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", k1, k2, text.alias("text"), F.lower(text).alias("low"))
+
+    # Counted on lower(): the order decides what is looked at first, not what is found.
+    held = rows.select(F.explode(F.array_intersect(_strings(vocabulary), F.split("low", f"{_APART}+", -1))).alias("token")).groupBy("token").count()
+    often = {r["token"]: r["count"] for r in held.collect()}
+    rank = {t: k for k, t in enumerate(sorted(vocabulary, key=lambda t: (often.get(t, 0), t)))}
+    sizes: dict[int, list] = {}
+    for t in templates:
+        sizes.setdefault(window_of(t[2]), []).append(t)
+    best = None
+    for window, some in sorted(sizes.items()):
+        part = _found(rows, some, rank, threshold, window, every)
+        best = part if best is None else best.unionByName(part)
+    if best is None:
+        best = rows.sparkSession.createDataFrame([], "_k1 long, _k2 long, label string, score double")
+    own = best.groupBy("_k1", "_k2").agg(F.collect_set("label").alias("more"), F.max("score").alias("share"))
 
     def places(norm: Column) -> Column:
         """For each phrase the places where its words stand."""

@@ -70,3 +70,28 @@ def test_query_finds_every_notice_of_a_family(spark, tmp_path):
     spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.labels for r in op3_license_scan(spark, str(tmp_path)).collect()}
     assert got == dict(enumerate(texts.values()))
+
+
+def test_many_and_long_templates(spark):
+    """A thousand notices of 200 words over 3,000 tokens, and one of two words; each found where it stands, or 90 % of it, and nowhere else."""
+    rng = random.Random(4)
+    words = [f"t{k}" for k in range(3_000)]
+    templates = [(f"l{k}", f"f{k}", " ".join(rng.sample(words, 200))) for k in range(1_000)] + [("two", "two", "public domain"), ("none", "none", "")]
+    plain = lambda n: [f"w{rng.randrange(50)}" for _ in range(n)]
+    texts, want = [], []
+    for k in (0, 17, 999):
+        notice = templates[k][2].split()
+        texts.append(" ".join(plain(333) + notice + plain(70)))
+        want.append(f"l{k}")
+        part = [w for j, w in enumerate(notice) if j % 10]
+        texts.append("\n".join(plain(70) + part))
+        want.append(f"l{k}")
+        texts.append(" ".join(notice[:150] + plain(400)))
+        want.append("")
+    texts += ["Public Domain", " ".join(templates[3][2].split() + plain(300) + templates[4][2].split() + ["public", "domain"]), None]
+    want += ["two", "l3,l4,two", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan(df, templates=templates, phrases=[("x", "no such phrase")]).collect()}
+    assert got == dict(enumerate(want))
+    none = license_scan(df, templates=[]).collect()
+    assert {r.labels for r in none} == {""} and len(none) == len(texts)
