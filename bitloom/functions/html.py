@@ -51,15 +51,17 @@ def _numeric(c: Column, lead: str, digits: str, base: int) -> Column:
 
 
 def _named(c: Column) -> Column:
-    """Named references in one pass: '&amp;' comes last, so what it yields is not read again."""
+    """Named references, each read once, so that what '&amp;' yields is not read again; unknown ones stay."""
+    known = F.create_map(*(F.lit(x) for pair in ENTITIES.items() for x in pair))
 
-    def all_of(x: Column) -> Column:
-        out = x
-        for name, char in ENTITIES.items():
-            out = F.regexp_replace(out, f"(?i)&{name};", char)
-        return F.when(x.contains("&"), out).otherwise(x)
+    def one(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z]+);", 1)
+        return let(F.struct(name.alias("name"), known[F.lower(name)].alias("char")), lambda n: F.coalesce(F.concat(n["char"], F.substr(part, F.length(n["name"]) + 2)), F.concat(F.lit("&"), part)))
 
-    return let(c, all_of)
+    def all_of(parts: Column) -> Column:
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))
+
+    return let(c, lambda x: F.when(x.contains("&"), let(F.split(x, "&", -1), all_of)).otherwise(x))
 
 
 def decode_entities(c: Column) -> Column:

@@ -23,20 +23,26 @@ OWN_LETTERS = (
     "ਐੱਲ ਐੱਮ ਐੱਨ ਐੱਸ ਐੱਫ ਐੱਚ ਐੱਕਸ ஏ பி சி டி ஜி ஹெச் எச் ஐ ஜே கே க்யூ ஆர் யு யூ வி ஒய் இசட் ஜெட் எஃப் "
     "എൽ എം എൻ എസ് എഫ് എച്ച് ആർ കെ പി ജി ബി സി ഡി ടി വി"
 ).split()
-BLOCKS = [0x0980, 0x0A00, 0x0A80, 0x0B00, 0x0B80, 0x0C00, 0x0C80, 0x0D00]
+DEVANAGARI, LAST_BLOCK = 0x0900, 0x0D00  # scripts of one order, 128 code points each
 MARKS, OPENERS = ".?!।॥۔؟", "([\"'“‘"
 # --------------------------------------------------------------------------------
 
 
-def _carry(base: int) -> set[str]:
-    """The letter names in the script whose block starts at base; those with an unassigned character are left out."""
-    shift = base - 0x0900
-    carried = ("".join(chr(ord(c) + shift) for c in name) for name in LETTERS)
-    return {w for w in carried if all(unicodedata.name(c, "") for c in w)}
+_HELD = frozenset([*TITLES, *LETTERS, *OWN_LETTERS])
 
 
-INITIALS = set(LETTERS).union(OWN_LETTERS, *map(_carry, BLOCKS))
-_HELD = frozenset(TITLES) | INITIALS
+def _is_held(word: str) -> bool:
+    """Whether a period after the word ends no sentence: a title, or a letter's name, which sister scripts write at the same places of their own block."""
+    if word in _HELD:
+        return True
+    blocks = {ord(c) & ~0x7F for c in word}
+    if len(blocks) != 1 or not DEVANAGARI < min(blocks) <= LAST_BLOCK or not all(unicodedata.name(c, "") for c in word):
+        return False
+    back = min(blocks) - DEVANAGARI
+    return "".join(chr(ord(c) - back) for c in word) in _LETTER_NAMES
+
+
+_LETTER_NAMES = frozenset(LETTERS)
 _SHORT = re.compile(r"[A-Z]|[^\s.\d]+(?:\.[^\s.\d]+)+")
 _RUN = re.compile(rf"[{re.escape(MARKS)}]+\Z")
 
@@ -54,7 +60,7 @@ def _breaks(word: str, before: str, gap: str, after: str) -> bool:
     if run.group() != ".":
         return True
     stem = (word[:-1] or before).lstrip(OPENERS)
-    return not (stem in _HELD or _SHORT.fullmatch(stem) or after[:1].islower())
+    return not (_is_held(stem) or _SHORT.fullmatch(stem) or after[:1].islower())
 
 
 def sentences_of(text: str | None) -> list[str]:

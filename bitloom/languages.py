@@ -35,10 +35,6 @@ NAMES = {
     "or": "Odia", "as": "Assamese", "ta": "Tamil", "gom": "Konkani", "ne": "Nepali", "kha": "Khasi", "mni": "Manipuri", "lus": "Mizo", "njm": "Tenyidei",
 }
 LOW_CONFIDENCE = ("mni", "lus", "kha", "njm", "gom")
-FEED_LANGUAGE = {
-    1: "en", 2: "hi", 3: "ur", 4: "bn", 6: "pa", 8: "kn", 9: "mr", 10: "as", 11: "ta", 13: "gu", 14: "mni", 15: "ml", 16: "te", 18: "or", 29: "ne", 30: "kha",
-    31: "njm", 32: "lus", 37: "bn", 42: "gom", 44: "ur", 46: "te",
-} | dict.fromkeys((33, 34, 35, 36, 38, 39, 40, 41, 43, 45), "hi")
 DEFAULT_CUT = 0.70
 # Languages with an encoder of their own: (English encoder, own encoder, cut).
 ROUTED = {"mni": ("LASER2:eng_Latn", "LASER3:mni_Beng", 0.80)}

@@ -180,8 +180,9 @@ def test_reports(spark):
     rows += [row("2025-11", "delhi-en", "hi", True)] * 29 + [row("2025-11", "delhi-en", "hi", False)] * 71
     lines = report.copy_lines(report.copy_table(spark.createDataFrame(rows, "month string, office string, lang string, google_copy boolean")))
     assert lines == ["| Office, language | November 2018 | November 2025 |", "| --- | --- | --- |", "| Kolkata, Bengali | 0% | 0% (of 88) |", "| Delhi's Hindi translations |  | 29% |"]
-    text = report.configs(["2019-07", "2025-11"], ["ne"])
-    assert text.count("default: true") == 1 and '- split: "nov2025"\n    path: documents/2025-11.parquet' in text and "path: regional/documents/ne.parquet" in text
+    text = report.configs(report.layout(spark.createDataFrame([("2019-07",), ("2025-11",)], "month string"), spark.createDataFrame([("ne",)], "lang string")))
+    assert text.splitlines()[:5] == ["- config_name: sentences", "  default: true", "  data_files:", '    - split: "jul2019"', "      path: sentences/2019-07.parquet"]
+    assert text.count("default: true") == 1 and '- split: "nov2025"\n      path: documents/2025-11.parquet' in text and "path: regional/documents/ne.parquet" in text
     found = spark.createDataFrame([("2023-11", "{}"), ("2024-11", "x"), ("2024-05", " \n"), ("2024-12", "y")], "month string, content string")
     kept = report.months_with_releases(found)
     assert [r.month for r in kept.collect()] == ["2023-11", "2024-11", "2024-12"]
