@@ -12,8 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import numbers, numbers_agree
@@ -23,6 +22,7 @@ from ..languages import DEFAULT_CUT, LOW_CONFIDENCE, ROUTED
 
 SKIP = -0.3
 BAND, BAND_SHARE = 200, 0.10
+TIE = 1e-12  # sums in another order differ by less
 # moves: (sources, targets)
 ONE_ONE, TWO_ONE, ONE_TWO, SKIP_SOURCE, SKIP_TARGET = (1, 1), (2, 1), (1, 2), (1, 0), (0, 1)
 
@@ -79,12 +79,11 @@ def align(one: np.ndarray, two: np.ndarray, other_one: np.ndarray, other_two: np
             offer(shifted(before, 2, sims[i - 1][2], int(lo[i - 1])), 2)
             offer(shifted(before, 1, sims[i - 1][0], int(lo[i - 1])), 0)
             offer(before[a + 2 : b + 3] + SKIP, 3)
-        run = low
-        for j, value in enumerate(best.tolist()):
-            if run + SKIP > value:
-                value = best[j] = run + SKIP
-                code[j] = 4
-            run = value
+        # A skipped target costs the same at every place, so the best way to come along the row is a running maximum.
+        slope = SKIP * np.arange(len(best))
+        level = np.maximum.accumulate(best - slope)
+        passed = np.concatenate([[False], level[:-1] > (best - slope)[1:] + TIE])
+        best[passed], code[passed] = (level + slope)[passed], 4
         now[a + 2 : b + 3] = best
         codes.append(code)
         if i < n:
@@ -120,21 +119,24 @@ def jobs_of(groups: DataFrame) -> DataFrame:
         F.concat_ws("\n", "en.title", "en.body").alias("en_text"), F.concat_ws("\n", "doc.title", "doc.body").alias("lang_text"),
     )
     both = F.col("en_prid").isNotNull() & F.col("text_prid").isNotNull()
-    first = W.partitionBy("en_prid", "text_prid").orderBy("ord", "at")
-    seen = jobs.where(both).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return seen.unionByName(jobs.where(~both))
+    row = F.struct("ord", "at", *(c for c in jobs.columns if c not in ("ord", "at")))
+    return jobs.where(both).groupBy("en_prid", "text_prid").agg(F.min(row).alias("r")).select("r.*").select(jobs.columns).unionByName(jobs.where(~both))
 
 
 def needed_texts(split: DataFrame) -> DataFrame:
     """All texts that alignment reads: (job, side, kind, pos, lang, text); kind 2 joins a sentence with the next."""
-    side = lambda name, k: split.select("job", "lang", F.lit(k).alias("side"), F.posexplode(name).alias("pos", "text"))
-    one = side("src", 0).unionByName(side("tgt", 1)).withColumn("kind", F.lit(1))
-    joined = lambda name: F.zip_with(F.slice(name, 1, F.greatest(F.size(name) - 1, F.lit(0))), F.slice(name, 2, F.greatest(F.size(name) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    pairs = split.select("job", "lang", joined("src").alias("src"), joined("tgt").alias("tgt"))
-    two = pairs.select("job", "lang", F.lit(0).alias("side"), F.posexplode("src").alias("pos", "text")).unionByName(
-        pairs.select("job", "lang", F.lit(1).alias("side"), F.posexplode("tgt").alias("pos", "text"))
-    )
-    return one.unionByName(two.withColumn("kind", F.lit(2)))
+    tail = lambda name, k: F.slice(name, k, F.greatest(F.size(name) - 1, F.lit(0)))
+    joined = lambda name: F.zip_with(tail(name, 1), tail(name, 2), lambda a, b: F.concat(a, F.lit(" "), b))
+    rows = lambda texts, side, kind: F.transform(texts, lambda x, at: F.struct(F.lit(side).alias("side"), F.lit(kind).alias("kind"), at.alias("pos"), x.alias("text")))
+    every = F.concat(*(rows(texts, side, kind) for side, name in enumerate(("src", "tgt")) for kind, texts in ((1, F.col(name)), (2, joined(name)))))
+    return split.select("job", "lang", F.inline(every))
+
+
+def cut_of(lang: Column, routed: dict = ROUTED, default: float = DEFAULT_CUT) -> Column:
+    """The least similarity that a language's pairs are kept at."""
+    if not routed:
+        return F.lit(default)
+    return F.coalesce(F.create_map(*(F.lit(x) for name, r in routed.items() for x in (name, r[2])))[lang], F.lit(default))
 
 
 def align_documents(jobs: DataFrame, vectors: DataFrame, default_model: str, routed: dict = ROUTED) -> DataFrame:
@@ -171,23 +173,24 @@ def align_documents(jobs: DataFrame, vectors: DataFrame, default_model: str, rou
                     )
 
     matched = placed.mapInArrow(run, f"job {dict(jobs.dtypes)['job']}, n int, i int, s int, j int, t int, sim double")
-    cut = F.coalesce(F.create_map(*(F.lit(x) for lang, r in routed.items() for x in (lang, r[2])))[F.col("lang")] if routed else F.lit(None).cast("double"), F.lit(DEFAULT_CUT))
-    both = matched.join(jobs.select("job", "lang", "src", "tgt"), "job").where(F.col("sim") >= cut)
+    both = matched.join(jobs.select("job", "lang", "src", "tgt"), "job").where(F.col("sim") >= cut_of(F.col("lang"), routed))
     text = lambda side, at, n: F.array_join(F.slice(side, F.col(at) + 1, F.col(n)), " ")
     return both.select("job", "n", "lang", text("src", "i", "s").alias("en"), text("tgt", "j", "t").alias("text"), "sim")
 
 
-def sentence_pairs(groups: DataFrame, vectors, default_model: str, routed: dict = ROUTED) -> DataFrame:
+def sentence_pairs(groups: DataFrame, vectors, default_model: str, routed: dict = ROUTED, keep=lambda df, name: df) -> DataFrame:
     """Groups to sentence pairs with what checks them: numbers, confidence and where they come from.
 
     ``vectors``: a DataFrame (k, v), or a function from the texts needed (lang,
-    side, text) to one, which may encode what its store lacks.
+    side, text) to one, which may encode what its store lacks.  ``keep(df, name)``
+    may write a table and read it back: the split texts are read three times.
     """
     jobs = jobs_of(groups).withColumn("job", F.xxhash64("office", "ord", "at", "lang", "en_prid", "text_prid"))
     split = jobs.select("*", sentences("en_text").alias("src"), sentences("lang_text").alias("tgt"))
+    split = keep(split.drop("en_text", "lang_text"), "split")
     table = vectors(needed_texts(split)) if callable(vectors) else vectors
     pairs = align_documents(split, table, default_model, routed)
-    about = jobs.select("job", "prid", "en_prid", "text_prid", F.coalesce("date", F.lit("")).alias("date"), "office", "ord", "at")
+    about = split.select("job", "prid", "en_prid", "text_prid", F.coalesce("date", F.lit("")).alias("date"), "office", "ord", "at")
     return pairs.join(about, "job").select(
         "lang", "en", "text", F.round("sim", 3).alias("sim"), numbers_agree(numbers(F.col("en")), numbers(F.col("text"))).alias("numbers"),
         F.when(F.col("lang").isin(*LOW_CONFIDENCE), "low").otherwise("normal").alias("confidence"), "prid", "en_prid", "text_prid", "date", "office", "ord", "at", "n",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import in_script, posted
@@ -34,15 +33,12 @@ def fold(pairs: DataFrame, copies: DataFrame | None = None, order: list[str] | N
 
 
 def documents(groups: DataFrame) -> DataFrame:
-    """One row for each (English release, translation), the first by (ord, place in the group); null ids are equal to each other here."""
+    """One row for each (English release, translation), the first by (ord, place in the group); null ids are equal to each other here. A partial minimum: no window, no hot task."""
     sides = groups.where(F.map_contains_key("byLang", F.lit("en"))).select("*", F.col("byLang")["en"].alias("e"), F.posexplode("byLang").alias("at", "lang", "doc")).where("lang != 'en'")
-    first = W.partitionBy("e.prid", "doc.prid").orderBy("ord", "at")
+    doc = F.struct("ord", "at", "lang", "e", "doc", "ministry", "office", "date")
+    first = sides.groupBy(F.col("e.prid"), F.col("doc.prid")).agg(F.min(doc).alias("f")).select("f.*")
     line = posted(F.col("date"))
-    return (
-        sides.withColumn("_n", F.row_number().over(first))
-        .where("_n = 1")
-        .select(
-            "lang", F.col("e.prid").alias("en_prid"), F.col("doc.prid").alias("text_prid"), F.col("e.title").alias("en_title"), F.col("e.body").alias("en_body"), "doc.title", "doc.body",
-            F.coalesce("ministry", F.lit("")).alias("ministry"), "office", line["date"].alias("date"), line["posted_by"].alias("posted_by"),
-        )
-    )
+    return first.select(
+        "lang", F.col("e.prid").alias("en_prid"), F.col("doc.prid").alias("text_prid"), F.col("e.title").alias("en_title"), F.col("e.body").alias("en_body"), "doc.title", "doc.body",
+        F.coalesce("ministry", F.lit("")).alias("ministry"), "office", line["date"].alias("date"), line["posted_by"].alias("posted_by"),
+    )

@@ -28,10 +28,10 @@ def round_robin(pairs: DataFrame, cell: list[str], group: str, order: list[str],
     return ranked.withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= n).drop("_round", "_first")
 
 
-def score_copies(sample: DataFrame) -> DataFrame:
-    """sample with ``translated`` (the machine's text) as copy rows; the machine's text itself goes no further."""
+def score_copies(sample: DataFrame, order: list[str] = ()) -> DataFrame:
+    """sample with ``translated`` (the machine's text) as copy rows, and its columns ``order``; the machine's text itself goes no further."""
     scored = sample.withColumn("_s", chrf("translated", "text"))
-    return scored.select("prid", "office", "lang", "en", "text", one_place(F.col("_s")).alias("chrf"), is_copy(F.col("_s")).alias("google_copy"))
+    return scored.select("prid", "office", "lang", "en", "text", one_place(F.col("_s")).alias("chrf"), is_copy(F.col("_s")).alias("google_copy"), *order)
 
 
 def copy_rates(copies: DataFrame) -> DataFrame:

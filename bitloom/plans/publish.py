@@ -9,7 +9,7 @@ from ..operators.align import sentence_pairs
 from ..operators.package import documents, fold
 from ..operators.report import audit
 from ..operators.sample import eligible, round_robin, score_copies
-from ..operators.vectors import Encoder, translated, with_vectors
+from ..operators.vectors import Encoder, encode, missing, translated
 from ..sources.files import write_published
 
 
@@ -18,7 +18,10 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Align, sample, package and audit release groups; write sentences, documents and copies under ``out`` and return them.
 
-    Nothing is left under its final name unless the audit passes.
+    Every stage writes under ``out/draft``; nothing stands under its final name
+    unless the audit passes.  Vectors that the store lacked are appended to
+    ``out/vectors`` as they are made, so a later run that adds them to its store
+    encodes no text again.
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -26,13 +29,24 @@ def publish(
         write_published(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
-    pairs = sentence_pairs(groups, lambda texts: with_vectors(texts, store, model, encoder), model)
-    pairs = stage(pairs.withColumn("seq", F.struct("ord", "at", "n")), "pairs").withColumn("ord", F.col("seq"))
+    def draft(df: DataFrame, name: str) -> DataFrame:
+        return stage(df, f"draft/{name}")
+
+    def known(texts: DataFrame) -> DataFrame:
+        need = draft(texts.select("text").distinct(), "texts")
+        held = store.where(F.col("model") == model).join(need, "text", "left_semi").dropDuplicates(["k"]).select("k", "model", "text", "v")
+        new = draft(encode(missing(need, held, model), model, encoder), "vectors")
+        new.write.mode("append").option("compression", "zstd").parquet(f"{out}/vectors")
+        return held.unionByName(new)
+
+    pairs = sentence_pairs(groups, known, model, keep=draft)
+    pairs = draft(pairs.withColumn("seq", F.struct("ord", "at", "n")), "pairs").withColumn("ord", F.col("seq"))
     chosen = round_robin(pairs.where(eligible()), ["office", "lang"], "prid", ["ord"], sample)
     jobs = chosen.select("prid", "office", "lang", "en", F.col("text").alias("own"), "ord", F.lit("en").alias("from"), F.col("lang").alias("to")).withColumn("text", F.col("en"))
     scored = translated(jobs, cache, budget=budget).drop("text", "from", "to").withColumnRenamed("own", "text")
-    copies = stage(score_copies(scored).withColumn("ord", F.monotonically_increasing_id()), "copies")
-    tables = {"sentences": fold(pairs, copies).orderBy("seen").drop("seen"), "documents": documents(groups)}
-    drafts = {name: stage(df, f"draft/{name}") for name, df in tables.items()}
-    audit({"sentences": (drafts["sentences"], ["en", "text"]), "documents": (drafts["documents"], ["en_title", "en_body", "title", "body"])})
-    return {name: stage(df, name) for name, df in drafts.items()} | {"copies": copies}
+    tables = {"copies": draft(score_copies(scored, ["ord"]), "copies")}
+    tables["sentences"] = draft(fold(pairs, tables["copies"]).orderBy("seen").drop("seen"), "sentences")
+    tables["documents"] = draft(documents(groups), "documents")
+    read = {"copies": ["en", "text"], "sentences": ["en", "text"], "documents": ["en_title", "en_body", "title", "body"]}
+    audit({name: (tables[name], columns) for name, columns in read.items()})
+    return {name: stage(df, name) for name, df in tables.items()}

@@ -11,10 +11,11 @@ from .functions import html as H
 from .functions import text as T
 from .functions.numbers import numbers, numbers_agree
 from .functions.score import chrf
-from .functions.split import sentences
+from .functions.split import LETTERS, OWN_LETTERS, TITLES, sentences
 from .languages import PAGE_SCRIPTS
 from .operators import align, package, releases, report, sample, vectors
 from .plans import months
+from .sources import files
 
 LATIN_LETTERS = r"[A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}]"
 QUERIES: dict = {}
@@ -218,14 +219,14 @@ def vector_cosine_pairs(spark, sf_dir):
     return e.alias("a").join(e.alias("b"), F.col("b.vec_id") == F.col("a.vec_id") + 1).select("a.vec_id", micro(vectors.dot(F.col("a.embedding"), F.col("b.embedding"))).alias("sim"))
 
 
-def aligned_blocks(spark, sf_dir):
+def aligned_blocks(spark, sf_dir, kind=np.float32):
     """Consecutive vectors in blocks of 24, the first 12 against the last 12; a vector joined with the next is their sum, made unit."""
     e = table(spark, sf_dir, "embeddings").groupBy(F.floor(F.col("vec_id") / 24).alias("job")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("rows"))
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                v = np.array([r["embedding"] for r in batch.column(1)[k].as_py()], np.float32)
+                v = np.array([r["embedding"] for r in batch.column(1)[k].as_py()], kind)
                 s, t = v[:12], v[12:]
                 pair = lambda x: (x[:-1] + x[1:]) / np.linalg.norm(x[:-1] + x[1:], axis=1, keepdims=True)
                 found = align.align(s, pair(s), t, pair(t)) if len(t) else []
@@ -387,7 +388,7 @@ def month_plan(spark, sf_dir):
     return months.to_do(months.plan_for(months.plan(spark)), done)
 
 
-@query("SELECT 'mni' AS lang, 48 AS office_months")
+@query("SELECT 'mni' AS lang, count(*) AS office_months FROM generate_series(DATE '2019-01-01', DATE '2022-12-01', INTERVAL 1 MONTH)")
 def office_months(spark, sf_dir):
     return months.office_months(months.plan_for(months.plan(spark), "mni", "2019-01", "2022-12"))
 
@@ -403,8 +404,7 @@ def list_ids(spark, sf_dir):
     link = lambda c: F.concat(F.lit('<a href="PressReleaseDetail.aspx?PRID='), c.cast("string"), F.lit('">x</a>'))
     html = F.concat(link(F.col("n_chars") % 7), link(F.col("n_chars") % 5), link(F.col("n_chars") % 7), link(F.lit(8)))
     d = table(spark, sf_dir, "documents").select("doc_id", html.alias("value"))
-    found = F.array_distinct(F.regexp_extract_all("value", F.lit(r"PressReleaseDetail\.aspx\?PRID=([0-9]+)"), F.lit(1)))
-    return d.select("doc_id", F.posexplode(found).alias("at", "prid"))
+    return files.list_ids(d)
 
 
 @query(
@@ -418,3 +418,154 @@ def extra_pricing_summary(spark, sf_dir):
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").cast("long").alias("sum_qty"), revenue.alias("revenue"), F.count("*").alias("n"))
 
 
+# ------------------------------------------------------------------ alignment score
+
+_UNIT = "sqrt(list_dot_product({0}[{1}], {0}[{1}]) + 2 * list_dot_product({0}[{1}], {0}[{1} + 1]) + list_dot_product({0}[{1} + 1], {0}[{1} + 1]))"
+
+
+@query(
+    f"""WITH e AS (SELECT CAST(floor(vec_id / 24) AS BIGINT) AS job, list(CAST(embedding AS DOUBLE[]) ORDER BY vec_id) AS v FROM embeddings GROUP BY 1
+    ), j AS (SELECT job, v[1:12] AS s, v[13:] AS t, 12 AS n, len(v) - 12 AS m FROM e WHERE len(v) > 12
+    ), c AS (SELECT *, list_transform(range(0, n * m), lambda q: list_dot_product(s[q // m + 1], t[q % m + 1])) AS one,
+        list_transform(range(0, (n - 1) * m), lambda q: (list_dot_product(s[q // m + 1], t[q % m + 1]) + list_dot_product(s[q // m + 2], t[q % m + 1])) / {_UNIT.format("s", "(q // m + 1)")}) AS two,
+        list_transform(range(0, n * (m - 1)), lambda q: (list_dot_product(s[q // (m - 1) + 1], t[q % (m - 1) + 1]) + list_dot_product(s[q // (m - 1) + 1], t[q % (m - 1) + 2])) / {_UNIT.format("t", "(q % (m - 1) + 1)")}) AS half FROM j
+    ), best AS (SELECT job, list_reduce(list_concat([[CAST(0 AS DOUBLE)]], list_transform(range(1, (n + 1) * (m + 1)), lambda k: [CAST(k AS DOUBLE)])), lambda b, x: list_append(b, greatest(
+        CASE WHEN x[1] >= m + 1 AND CAST(x[1] AS BIGINT) % (m + 1) >= 1 THEN b[CAST(x[1] AS BIGINT) - m - 1] + one[(CAST(x[1] AS BIGINT) // (m + 1) - 1) * m + CAST(x[1] AS BIGINT) % (m + 1)] END,
+        CASE WHEN x[1] >= 2 * (m + 1) AND CAST(x[1] AS BIGINT) % (m + 1) >= 1 THEN b[CAST(x[1] AS BIGINT) - 2 * (m + 1)] + two[(CAST(x[1] AS BIGINT) // (m + 1) - 2) * m + CAST(x[1] AS BIGINT) % (m + 1)] END,
+        CASE WHEN x[1] >= m + 1 AND CAST(x[1] AS BIGINT) % (m + 1) >= 2 THEN b[CAST(x[1] AS BIGINT) - m - 2] + half[(CAST(x[1] AS BIGINT) // (m + 1) - 1) * (m - 1) + CAST(x[1] AS BIGINT) % (m + 1) - 1] END,
+        CASE WHEN x[1] >= m + 1 THEN b[CAST(x[1] AS BIGINT) - m] - 0.3 END, CASE WHEN CAST(x[1] AS BIGINT) % (m + 1) >= 1 THEN b[CAST(x[1] AS BIGINT)] - 0.3 END))) AS b FROM c)
+    SELECT job, CAST(floor(b[-1] * 1e6 + 0.5) AS BIGINT) AS score FROM best"""
+)
+def align_score(spark, sf_dir):
+    """The best score of each block's alignment: matched similarities, and the skips of what stays alone."""
+    rows = aligned_blocks(spark, sf_dir, np.float64)
+    sizes = table(spark, sf_dir, "embeddings").groupBy(F.floor(F.col("vec_id") / 24).alias("job")).agg(F.count("*").alias("n")).where("n > 12")
+    used = rows.groupBy("job").agg(F.sum("sim").alias("sim"), F.sum(F.col("s") + F.col("t")).alias("used"))
+    both = sizes.join(used, "job", "left").fillna(0, ["sim", "used"])
+    return both.select("job", micro(F.col("sim") + align.SKIP * (F.col("n") - F.col("used"))).alias("score"))
+
+
+# ------------------------------------------------------- sentences, numbers, redaction, signs
+
+_PY = r"[\s\x0b\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_HELD = ", ".join(f"'{w}'" for w in sorted({*TITLES, *LETTERS, *OWN_LETTERS}))
+
+
+@query(
+    rf"""WITH w AS (SELECT doc_id, string_split_regex(text, '{_PY}+') AS w, regexp_extract_all(text, '{_PY}+') AS g FROM documents WHERE text IS NOT NULL
+    ), k AS (SELECT doc_id, generate_subscripts(w, 1) AS k, unnest(w) AS word, unnest(list_append(g, NULL)) AS gap, unnest(list_append(w[2:], NULL)) AS after FROM w
+    ), r AS (SELECT *, regexp_extract(word, '[.?!।॥۔؟]+$') AS run, ltrim(regexp_replace(word, '\.$', ''), '(["''“‘') AS stem FROM k
+    ), b AS (SELECT *, CASE WHEN gap IS NULL THEN false WHEN run = '' THEN contains(gap, chr(10)) WHEN run <> '.' THEN true
+        ELSE NOT (stem IN ({_HELD}) OR regexp_full_match(stem, '[A-Z]|[^\s.\d]+(?:\.[^\s.\d]+)+') OR regexp_matches(after, '^\p{{Ll}}')) END AS cut FROM r
+    ), n AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM b
+    ), t AS (SELECT doc_id, s, sum(length(word)) AS chars FROM n GROUP BY ALL HAVING sum(length(word)) > 1 AND bool_or(regexp_matches(word, '[\p{{L}}\p{{N}}_]')))
+    SELECT d.doc_id, count(s) AS n, CAST(coalesce(sum(chars), 0) AS BIGINT) AS chars FROM documents d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id"""
+)
+def sentence_count(spark, sf_dir):
+    split = table(spark, sf_dir, "documents").select("doc_id", sentences("text").alias("s"))
+    chars = F.aggregate("s", F.lit(0).cast("long"), lambda n, x: n + F.length(F.regexp_replace(x, f"[{T.PY_SPACE}]+", "")))
+    return split.select("doc_id", F.size("s").cast("long").alias("n"), chars.alias("chars"))
+
+
+@query(
+    r"""WITH v AS (SELECT doc_id, CAST(replace(unnest(regexp_extract_all(text, '[0-9]+(?:,[0-9]+)*(?:\.[0-9]+)?')), ',', '') AS DOUBLE) AS v FROM documents
+    ), p AS (SELECT doc_id, CASE WHEN v = floor(v) THEN CAST(CAST(v AS DECIMAL(38,0)) AS VARCHAR) ELSE rtrim(printf('%.6f', v), '0') END AS p FROM v)
+    SELECT d.doc_id, md5(coalesce(string_agg(p, ' ' ORDER BY p), '')) AS numbers, count(p) AS n FROM documents d LEFT JOIN p USING (doc_id) GROUP BY d.doc_id""".replace("\\\\", "\\")
+)
+def numbers_plain(spark, sf_dir):
+    """No scale word follows a number in these texts, which SQL without look-ahead relies on."""
+    found = table(spark, sf_dir, "documents").select("doc_id", numbers(F.col("text")).alias("v"))
+    return found.select("doc_id", F.md5(F.array_join("v", " ")).alias("numbers"), F.size("v").cast("long").alias("n"))
+
+
+_RE2_PHONE = "(^|[^\\p{L}\\p{M}\\p{Nd}])(?:" + T.PHONE.partition("(?:")[2].rpartition(")(?!")[0].replace(T.JS_SPACE, _RE2_SPACE[1:-1]) + ")($|[^\\p{Nd}])"
+
+
+@query(f"SELECT doc_id, md5(regexp_replace(text, '{_RE2_PHONE}', '\\1<phone>\\2', 'g')) AS text FROM documents")
+def redact_phone(spark, sf_dir):
+    """What stands around a number is matched with it in SQL, for want of look-around; no two numbers share a sign here."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.redact_phone(F.col("text"))).alias("text"))
+
+
+@query(
+    rf"""WITH t AS (SELECT doc_id, regexp_replace(text, '(?i){_PY.replace("[", "[^", 1)}*(?:https?://|www\.|doi\.org/){_PY.replace("[", "[^", 1)}*', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, len(regexp_extract_all(t, '(?:^|[^0-9.,])[6-9][0-9]{{4}}(?:-|{_PY})?[0-9]{{5}}(?:$|[^0-9.,])')) AS mobile,
+           len(regexp_extract_all(t, '(?:^|[^0-9.,])0[0-9]{{2,4}}(?:-|{_PY})[0-9]{{6,8}}(?:$|[^0-9.,])')) AS landline FROM t"""
+)
+def leak_counts(spark, sf_dir):
+    kind = lambda k: F.size(F.filter("l", lambda x: x.startswith(k))).cast("long")
+    d = table(spark, sf_dir, "documents").select("doc_id", T.leaks(F.col("text")).alias("l"))
+    return d.select("doc_id", kind("mobile: ").alias("mobile"), kind("landline: ").alias("landline"))
+
+
+# ------------------------------------------------------------- sources, groups, samples, reports
+
+
+@query("SELECT 0 AS at, source || ' & ' || lang AS title, CAST(doc_id AS VARCHAR) AS prid FROM documents")
+def feed_items(spark, sf_dir):
+    item = F.concat(F.lit("<item> <title>\n"), "source", F.lit(" &amp;amp; <b>"), "lang", F.lit("</b></title><link>x?PRID="), F.col("doc_id").cast("string"), F.lit("</link></item>"))
+    return files.feed_items(table(spark, sf_dir, "documents").select(item.alias("value")))
+
+
+@query(
+    f"""WITH b AS (SELECT id, x FROM {_BODY} WHERE x <> '') SELECT CAST(a.id AS VARCHAR) AS prid, 1 + (b.id IS NOT NULL)::INT AS sides, CAST(b.id AS VARCHAR) AS hi
+    FROM b a LEFT JOIN b ON b.id = a.id + 1"""
+)
+def linked_groups(spark, sf_dir):
+    """Each document as a release that links the next one as its translation."""
+    pages = release_pages(spark, sf_dir)
+    following = F.create_map(F.lit("hi"), (F.col("prid").cast("long") + 1).cast("string"))
+    rel = H.parse_releases(pages, F.lit("en")).select("prid", F.lit("en").alias("lang"), "title", "ministry", "date", "body", following.alias("translations"))
+    groups = releases.release_groups(rel, pages, ["hi", "en"])
+    return groups.select("prid", F.size(F.map_keys("byLang")).alias("sides"), F.col("byLang")["hi"]["prid"].alias("hi"))
+
+
+@query(
+    """WITH c AS (SELECT lang, text, arg_max(toxic = 1, doc_id) AS google_copy FROM documents JOIN labels USING (doc_id) WHERE toxic IS NOT NULL GROUP BY ALL),
+    d AS (SELECT lang, text, count(*) AS occurrences, CAST(min(doc_id) AS VARCHAR) AS en_prid FROM documents GROUP BY ALL)
+    SELECT lang, md5(text) AS text, occurrences, en_prid, google_copy FROM d LEFT JOIN c USING (lang, text)
+    WHERE 2 * len(regexp_extract_all(text, '"""
+    + LATIN_LETTERS
+    + """')) > len(regexp_extract_all(text, '\\p{L}'))"""
+)
+def fold_copies(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    pair = d.select(
+        "lang", F.col("text").alias("en"), "text", F.lit(1.0).alias("sim"), F.lit(None).cast("boolean").alias("numbers"), F.lit("normal").alias("confidence"), F.col("doc_id").cast("string").alias("en_prid"),
+        F.lit("").alias("text_prid"), F.lit("05 NOV 2018").alias("date"), F.col("source").alias("office"), F.col("doc_id").alias("ord"),
+    )
+    copies = d.join(table(spark, sf_dir, "labels"), "doc_id").where("toxic IS NOT NULL").select("lang", F.col("text").alias("en"), "text", (F.col("toxic") == 1).alias("google_copy"), F.col("doc_id").alias("ord"))
+    return package.fold(pair, copies).select("lang", F.md5("text").alias("text"), "occurrences", "en_prid", "google_copy")
+
+
+@query("SELECT doc_id FROM documents WHERE n_chars % 100 >= 85 AND lang <> 'mni' AND length(text) + len(regexp_extract_all(text, '[\\x{10000}-\\x{10FFFF}]')) >= 40")
+def eligible_pairs(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("text").alias("en"), (F.col("n_chars") % 100 / 100.0).alias("sim"))
+    return d.where(sample.eligible()).select("doc_id")
+
+
+@query(
+    """WITH m AS (SELECT DISTINCT source, make_date(2018, CAST(1 + n_chars % 12 AS INT), 1) AS d FROM documents), g AS (SELECT source, list(d ORDER BY d) AS l FROM m GROUP BY source)
+    SELECT source, CASE WHEN len(l) > 2 THEN strftime(l[1], '%B %Y') || ' to ' || strftime(l[-1], '%B %Y') || ' (' || len(l) || ')'
+           ELSE array_to_string(list_transform(l, lambda x: strftime(x, '%B %Y')), ', ') END AS span FROM g"""
+)
+def month_spans(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select("source", F.format_string("2018-%02d", F.col("n_chars") % 12 + 1).alias("month"), F.lit("x").alias("content"))
+    return report.month_span(found.distinct(), ["source"])
+
+
+@query(
+    f"""WITH {_FLAGGED} SELECT (SELECT count(*) FROM f) AS pairs, (SELECT count(*) FROM f WHERE n_chars % 100 >= 85) AS high, count(*) AS docs, count(DISTINCT source) AS releases,
+    (SELECT count(*) FROM f WHERE n_chars % 3 = 0) AS known, (SELECT count(*) FROM f WHERE n_chars % 3 = 0 AND c) AS copies FROM documents"""
+)
+def card_totals(spark, sf_dir):
+    return report.month_totals(*packaged(spark, sf_dir))
+
+
+@query("SELECT vec_id, CASE WHEN label % 2 = 0 THEN 'hi' ELSE 'mni' END AS lang FROM (SELECT a.vec_id, a.label, list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1) WHERE sim >= CASE WHEN label % 2 = 0 THEN 0.0 ELSE 0.1 END")
+def vector_cut_by_label(spark, sf_dir):
+    """Neighbouring vectors above the cut of their language, as labels route them; the cut reads similarities that are not rounded."""
+    e = table(spark, sf_dir, "embeddings")
+    pairs = e.alias("a").join(e.alias("b"), F.col("b.vec_id") == F.col("a.vec_id") + 1)
+    rows = pairs.select("a.vec_id", F.when(F.col("a.label") % 2 == 0, "hi").otherwise("mni").alias("lang"), vectors.dot(F.col("a.embedding"), F.col("b.embedding")).alias("sim"))
+    return rows.where(F.col("sim") >= align.cut_of(F.col("lang"), {"mni": ("x", "y", 0.1)}, 0.0)).select("vec_id", "lang")

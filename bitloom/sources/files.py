@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,9 +48,14 @@ def feed_items(xml: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def list_ids(lists: DataFrame) -> DataFrame:
-    """Distinct release ids (at, prid) of list pages (value: the html), each where it first stands."""
+    """Distinct release ids (at, prid) of list pages (value: the html), each where it first stands; other columns pass through."""
     found = F.array_distinct(F.regexp_extract_all("value", F.lit(r"PressReleaseDetail\.aspx\?PRID=([0-9]+)"), F.lit(1)))
-    return lists.select(F.posexplode(found).alias("at", "prid"))
+    return lists.select(*(c for c in lists.columns if c != "value"), F.posexplode(found).alias("at", "prid"))
+
+
+def release_url(prid: Column, site: str) -> Column:
+    """Where a release's own page is; region and language spelled out."""
+    return F.concat(F.lit(f"{site}/PressReleaseIframePage.aspx?PRID="), prid, F.lit("&reg=3&lang=1"))
 
 
 def passes(spark: SparkSession, path: str) -> DataFrame:

@@ -251,7 +251,35 @@ def test_publish_runs_and_the_audit_stops_it(spark, tmp_path):
     leaky = spark.createDataFrame([("g1", "", "M", {"en": doc("1", "Call 9827170170"), "lus": doc("2", "Call 9827170170")}, "a-lus", 0)], GROUP)
     with pytest.raises(ValueError, match="contact detail"):
         publish(spark, leaky, store, "m", vectors.hashed_encoder(), cache, str(tmp_path / "b"))
-    assert not (tmp_path / "b" / "sentences").exists()
+    assert sorted(x.name for x in (tmp_path / "b").iterdir()) == ["draft", "vectors"]
+    held = spark.read.parquet(str(tmp_path / "a" / "vectors"))
+    texts = spark.createDataFrame([(long.strip(),), ("T one",), ("unseen",)], "text string")
+    assert [r.text for r in vectors.missing(texts, held, "m").collect()] == ["unseen"]
+
+
+def test_split_texts_are_read_few_times(spark, tmp_path):
+    """The splitter is Python: with a table kept after it, the plan of the pairs has none of it, without one three."""
+    groups = spark.createDataFrame(ROWS, GROUP)
+    store = vectors.encode(spark.createDataFrame([("k", "x")], "k string, text string"), "m", vectors.hashed_encoder()).persist()
+    plan = lambda **how: align.sentence_pairs(groups, store, "m", **how)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan().count("ArrowEvalPython") <= 4 and "row_number" not in plan()
+
+    def keep(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    assert "ArrowEvalPython" not in plan(keep=keep)
+    assert spark.range(1).select(files.release_url(F.lit("7"), "https://x")).first()[0] == "https://x/PressReleaseIframePage.aspx?PRID=7&reg=3&lang=1"
+
+
+def test_ties_of_skips_and_long_rows():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        n, m = rng.integers(1, 9, 2)
+        s, s2, t, t2 = (rng.choice([0.0, 0.5, 1.0, -0.5], size=(max(k, 0), 2)).astype(np.float32) for k in (n, n - 1, m, m - 1))
+        found = align.align(s, s2, t, t2)
+        score = sum(x[4] for x in found) + align.SKIP * (n - sum(x[1] for x in found) + m - sum(x[3] for x in found))
+        assert abs(score - plain_alignment(s, s2, t, t2)) < 1e-9
 
 
 def test_ingest_reads_each_page_once(spark, tmp_path):
