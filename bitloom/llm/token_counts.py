@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .spill import tune
 
-PIECE, BATCH = 8_000, 1 << 20
+PIECE, BATCH = 1_500, 1 << 20
 _CUT = regex.compile(r"(?<=[\p{L}\p{M}\p{N}\p{P}\p{S}])(?=[ \n])")
 _SOLID = regex.compile(r"[\p{L}\p{M}\p{N}\p{P}\p{S}]")
 
