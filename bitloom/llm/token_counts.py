@@ -6,10 +6,17 @@ but only for a byte-level BPE whose file proves the cuts safe:
 
 * before a space or line feed that follows a letter, mark, number or sign: no
   pre-token of the byte-level pattern reaches from a sign into white space;
+* before a comma or full stop that follows a letter or digit;
 * between two other characters, away from apostrophes, where no token of the
   vocabulary holds the byte before the cut followed by the byte after it: every
   merge makes a token, so none can reach over the cut.
 
+Cut wherever a byte tells that a place is of the first two kinds, a text falls
+into units, most of them a word with the white space before it.  Arrow finds the
+distinct units of a block of bytes, each goes through the library once, and a
+worker remembers its count, up to a bound of memory; what was forgotten is
+encoded again, so counts do not depend on it.
+
 Any other kind of tokenizer gets whole texts.
 """
 
@@ -28,7 +35,8 @@ from pyspark.sql import functions as F
 
 from .spill import tune
 
-PIECE, BATCH = 8_000, 1 << 20
+#: Characters of a piece, bytes of a batch for the library and of a block of units, bytes of a unit that is remembered, how many of these.
+PIECE, BATCH, BLOCK, LONG, KEPT = 8_000, 1 << 20, 4 << 20, 64, 1 << 18
 _CUT = regex.compile(r"(?<=[\p{L}\p{M}\p{N}\p{P}\p{S}])(?=[ \n])")
 _SOLID = regex.compile(r"[\p{L}\p{M}\p{N}\p{P}\p{S}]")
 
@@ -46,7 +54,7 @@ def joined_bytes(spec: dict) -> np.ndarray | None:
     plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and spec.get("normalizer") is None
     bpe = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
     added = spec.get("added_tokens") or []
-    if not (plain and bpe) or any(t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"\s", t["content"]) for t in added):
+    if not (plain and bpe) or any(t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"[\s.,]", t["content"]) for t in added):
         return None
     meaning, pairs = _byte_of(), np.zeros((256, 256), bool)
     tokens = [[meaning[c] for c in t] for t in model["vocab"] if all(c in meaning for c in t)] + [list(t["content"].encode()) for t in added]
@@ -71,7 +79,7 @@ def counter(path: str) -> tuple[Callable[[list[str]], list[int]], np.ndarray | N
     library.no_padding()
     with open(path, encoding="utf-8") as f:
         pairs = joined_bytes(json.load(f))
-    return lambda texts: [len(e) for e in library.encode_batch_fast(texts, add_special_tokens=False)], pairs
+    return lambda texts: list(map(len, library.encode_batch_fast(texts, add_special_tokens=False))), pairs
 
 
 def _inside(text: str, start: int, stop: int, pairs: np.ndarray) -> int:
@@ -100,28 +108,116 @@ def pieces_of(text: str, pairs: np.ndarray | None, size: int = PIECE) -> list[st
     return out
 
 
+def unit_cuts(data: np.ndarray) -> np.ndarray:
+    """Where UTF-8 bytes have a space or line feed after a character that its bytes show not to be white space, or a comma or full stop after an ASCII letter or digit.
+
+    No white space is visible ASCII, or begins with a byte other than C2, E1, E2
+    and E3 beyond ASCII.  No pre-token holds a letter or digit and then a stop.
+    """
+    space = np.flatnonzero((data == 0x20) | (data == 0x0A))
+    at = space[space > 0]
+    last = data[at - 1]
+    safe = (last > 0x20) & (last < 0x7F)
+    beyond = np.flatnonzero(last >= 0x80)
+    for back, low, high in ((2, 0xC3, 0xDF), (3, 0xE0, 0xE0), (3, 0xE4, 0xEF), (4, 0xF0, 0xF4)):
+        lead = data[np.maximum(at[beyond] - back, 0)]
+        # A lead byte so many places back belongs to the character before the cut: other bytes of it are under C0.
+        safe[beyond] |= (at[beyond] >= back) & (lead >= low) & (lead <= high)
+    stop = np.flatnonzero((data == 0x2C) | (data == 0x2E))
+    stop = stop[stop > 0]
+    before = data[stop - 1]
+    folded = before | 0x20
+    alnum = ((folded >= 0x61) & (folded <= 0x7A)) | ((before >= 0x30) & (before <= 0x39))
+    return np.sort(np.concatenate([at[safe], stop[alnum]]), kind="stable")
+
+
+class Remembered:
+    """Counts of units: those asked for lately are remembered, at most twice KEPT of LONG bytes each."""
+
+    def __init__(self, count: Callable[[list[str]], list[int]], pairs: np.ndarray, kept: int = KEPT):
+        self.count, self.pairs, self.kept = count, pairs, kept
+        self.young: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
+
+    def _encode(self, units: list[bytes]) -> list[int]:
+        """The counts of units that are not remembered, the library's batches bounded by bytes."""
+        out: list[int] = []
+        for at in range(0, len(units), BATCH // LONG):
+            some = units[at : at + BATCH // LONG]
+            short = iter(self.count([unit.decode() for unit in some if len(unit) <= LONG]))
+            out += [next(short) if len(unit) <= LONG else self._long(unit.decode()) for unit in some]
+        return out
+
+    def _long(self, unit: str) -> int:
+        pieces = pieces_of(unit, self.pairs)
+        step = max(1, BATCH // (4 * PIECE))
+        return sum(sum(self.count(pieces[k : k + step])) for k in range(0, len(pieces), step))
+
+    def __call__(self, units: list[bytes]) -> list[int]:
+        """The count of each of some distinct units."""
+        counts = list(map(self.young.get, units))
+        unknown = [k for k, n in enumerate(counts) if n is None]
+        names = [units[k] for k in unknown]
+        found = list(map(self.old.get, names))
+        fresh = iter(self._encode([unit for unit, n in zip(names, found) if n is None]))
+        found = [next(fresh) if n is None else n for n in found]
+        for k, n in zip(unknown, found):
+            counts[k] = n
+        lately = [(unit, n) for unit, n in zip(names, found) if len(unit) <= LONG][: self.kept]
+        if len(self.young) + len(lately) > self.kept:
+            self.old, self.young = self.young, {}
+        self.young.update(lately)
+        return counts
+
+
+@lru_cache(4)
+def remembered(path: str) -> Remembered:
+    return Remembered(*counter(path))
+
+
+def _unit_lengths(sums: Remembered, texts: pa.Array, block: int = BLOCK) -> np.ndarray:
+    """Token counts of texts, a block of bytes at a time."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    totals = np.zeros(len(texts), np.int64)
+    if not len(texts) or ends[-1] == ends[0]:
+        return totals
+    every, at, size = np.frombuffer(data, np.uint8), int(ends[0]), block
+    while at < ends[-1]:
+        stop = min(at + size, int(ends[-1]))
+        inside = ends[np.searchsorted(ends, at, "right") : np.searchsorted(ends, stop, "right")]
+        edges = np.sort(np.concatenate([unit_cuts(every[at:stop]) + at, inside]), kind="stable")
+        edges = edges[np.flatnonzero(np.diff(edges, prepend=at))]
+        if not len(edges):  # a unit longer than the block
+            size *= 2
+            continue
+        edges = np.concatenate([[at], edges])
+        # A unit that the block cuts off is left for the next one.
+        units = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), data]).dictionary_encode()
+        counts = np.array(sums(units.dictionary.to_pylist()), np.int64)[units.indices.to_numpy()]
+        owners = np.searchsorted(ends, edges[:-1], "right") - 1
+        np.add.at(totals, owners, counts)
+        at, size = int(edges[-1]), block
+    return totals
+
+
 def _lengths(tokenizer: str, texts: pa.Array) -> pa.Array:
     count, pairs = counter(tokenizer)
-    totals = np.zeros(len(texts), np.int64)
+    if pairs is not None:
+        return pa.array(_unit_lengths(remembered(tokenizer), texts))
+    out: list[int] = []
     pending: list[str] = []
-    owners: list[int] = []
     held = 0
-
-    def flush() -> None:
-        np.add.at(totals, owners, count(pending))
-
-    for k, text in enumerate(texts):
-        for piece in pieces_of(text.as_py() or "", pairs):
-            n = len(piece) if piece.isascii() else len(piece.encode())
-            if pending and held + n > BATCH:
-                flush()
-                pending, owners, held = [], [], 0
-            pending.append(piece)
-            owners.append(k)
-            held += n
-    if pending:
-        flush()
-    return pa.array(totals)
+    for text in texts:
+        whole = text.as_py() or ""
+        n = len(whole.encode())
+        if pending and held + n > BATCH:
+            out += count(pending)
+            pending, held = [], 0
+        pending.append(whole)
+        held += n
+    return pa.array(out + (count(pending) if pending else []), pa.int64())
 
 
 def with_token_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
