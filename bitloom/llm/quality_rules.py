@@ -5,22 +5,23 @@ counted over the corpus: one of all documents (raw) and one of the documents tha
 labels trust (target).  A document's score is the mean over its n-grams of
 log p_target - log p_raw; it is kept where the score reaches one threshold, the
 same for all documents, which separates the labelled documents best.  For that
-fit each labelled document is scored by counts without its own n-grams, as a
+fit every labelled document is scored by counts without its own n-grams, as a
 document that no label knows would be.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytescan
 from .bytescan import NONSPACE, Texts, U, mix, scan
-from .spill import tune
+from .spill import materialise, scratch, tune
 
 NGRAM = 3
 ONE = 1 << 30  # ratios are summed as whole numbers of 1/ONE, so a score depends on its document alone
@@ -61,19 +62,31 @@ def _scores(texts: Texts, ratio: np.ndarray, buckets: int) -> np.ndarray:
     return np.where(n > 0, total / np.maximum(n, 1) / ONE, 0.0)
 
 
-def _held_out(texts: Texts, trusted: np.ndarray, raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Each text's mean ratio by counts that its own n-grams are taken from."""
-    buckets, out = len(raw), np.zeros(texts.n)
-    for k in range(texts.n):
-        own = np.zeros(buckets + 1, np.int64)
-        for _, _, grams in _grams(Texts(texts.data[texts.at[k] : texts.at[k + 1]], np.array([0, texts.at[k + 1] - texts.at[k]])), buckets):
-            own += np.bincount(grams, minlength=buckets + 1)
-        some = np.flatnonzero(own[:-1])
-        c, n = own[some], int(own[:-1].sum())
-        if n:
-            t = int(trusted[k])
-            ratio = np.log((1 + target[some] - t * c) / (buckets + target.sum() - t * n)) - np.log((1 + raw[some] - c) / (buckets + raw.sum() - n))
-            out[k] = (c * ratio).sum() / n
+def _held_out(texts: Texts, some: np.ndarray, raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Mean ratios of some texts by counts that their own n-grams are taken from: a row as if none were trusted, a row as if all were."""
+    buckets, out = len(raw), np.zeros((2, len(some)))
+    all_raw, all_target = buckets + int(raw.sum()), buckets + int(target.sum())
+
+    def of(own: np.ndarray, c: np.ndarray) -> list[float]:
+        n = int(c.sum())
+        if not n:
+            return [0.0, 0.0]
+        less = (c * np.log(1 + raw[own] - c)).sum() / n - np.log(all_raw - n)
+        # where a text isn't trusted, its n-grams may be more than all trusted ones; nobody asks for that value
+        return [(c * np.log(np.maximum(1 + target[own] - t * c, 1))).sum() / n - np.log(max(all_target - t * n, 1)) - less for t in (0, 1)]
+
+    if len(texts.data) > bytescan.STEP:  # one long text
+        if len(some):
+            c = sum(np.bincount(grams, minlength=buckets + 1) for _, _, grams in _grams(texts, buckets))[:-1]
+            own = np.flatnonzero(c)
+            out[:, 0] = of(own, c[own])
+        return out
+    for _, _, grams in _grams(texts, buckets):
+        for k, (i, j) in enumerate(zip(texts.at[some], texts.at[some + 1])):
+            part = np.sort(grams[i:j])
+            at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+            own, c = part[at[:-1]], np.diff(at)
+            out[:, k] = of(own[own < buckets], c[own < buckets])
     return out
 
 
@@ -118,32 +131,42 @@ def agreed(labels: DataFrame) -> DataFrame:
     return rows.where("a = b").select("doc_id", "a")
 
 
-def labelled_sample(labels: DataFrame, limit: int) -> dict[int, int]:
-    """At most ``limit`` labelled documents, by a hash of the id: {id: 1 if trusted else 0}."""
-    rows = agreed(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()
-    return {r.doc_id: int(r.a) for r in rows}
+def separating(scored: DataFrame, parts: int = 1) -> float:
+    """Of scored (score double, trusted boolean): the middle of the widest interval of thresholds with the most trusted kept plus others rejected, each kind weighing the same.
 
-
-def separating(scores: np.ndarray, trusted: np.ndarray) -> float:
-    """The middle of the widest interval of thresholds with the most trusted kept plus others rejected, each kind weighing the same."""
-    if not trusted.any():
-        return -np.inf
-    if trusted.all():
-        return float(scores.min())
-    order = np.argsort(scores, kind="stable")
-    s, t = scores[order], trusted[order]
-    below_other = np.concatenate([[0], np.cumsum(~t)]) / (~t).sum()
-    below_trusted = np.concatenate([[0], np.cumsum(t)]) / t.sum()
-    edge = np.concatenate([[s[0]], s, [s[-1]]])
-    gain = np.where(edge[1:] > edge[:-1], below_other - below_trusted, -1)
-    gain[0] = 0
-    best = np.flatnonzero(gain == gain.max())
-    k = best[np.argmax(edge[best + 1] - edge[best])]
-    return float((edge[k] + edge[k + 1]) / 2)
+    Exact at any size: scores lie in ``parts`` ranges, running counts are taken
+    in each, and only the ranges' totals and the best interval go to the driver.
+    """
+    spark = scored.sparkSession
+    with scratch(spark):
+        kinds = scored.groupBy("score").agg(F.count_if("trusted").alias("t"), F.count_if(~F.col("trusted")).alias("o"))
+        # a range's number is written down: ranges are drawn anew whenever they are computed
+        ranges = materialise(kinds.repartitionByRange(parts, "score").withColumn("part", F.spark_partition_id()), "scores")
+        totals = ranges.groupBy("part").agg(F.min("score").alias("first"), F.sum("t").alias("t"), F.sum("o").alias("o")).orderBy("part").collect()
+        n_trusted, n_other = sum(r.t for r in totals), sum(r.o for r in totals)
+        if not n_trusted:
+            return -np.inf
+        if not n_other:
+            return totals[0].first
+        before = zip(accumulate((r.t for r in totals), initial=0), accumulate((r.o for r in totals), initial=0))
+        after = [*(r.first for r in totals[1:]), None]
+        known = spark.createDataFrame([(r.part, *n, x) for r, n, x in zip(totals, before, after)], "part int, before_t long, before_o long, after double")
+        order = Window.partitionBy("part").orderBy("score")
+        below = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        edges = ranges.join(F.broadcast(known), "part").select(
+            "score",
+            F.coalesce(F.lead("score").over(order), "after").alias("next"),
+            (F.col("before_t") + F.sum("t").over(below)).cast("decimal(38,0)").alias("t"),
+            (F.col("before_o") + F.sum("o").over(below)).cast("decimal(38,0)").alias("o"),
+        )
+        gain = F.col("o") * n_trusted - F.col("t") * n_other
+        one = F.struct(gain.alias("gain"), (F.col("next") - F.col("score")).alias("width"), (-F.col("score")).alias("low"), "next")
+        best = edges.where("next IS NOT NULL").agg(F.max(one).alias("best")).first().best
+        return totals[0].first if best is None or best.gain < 0 else (best.next - best.low) / 2
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 16, max_labels: int = 20_000, few: int = 1_000_000, texts: bool = True
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 16, max_labels: int | None = None, few: int = 1_000_000, texts: bool = True
 ) -> DataFrame:
     r"""docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept.
 
@@ -157,14 +180,19 @@ def quality_rules(
 
     Raw counts cover all documents and target counts all trusted ones, found by
     a join on the id: up to ``few`` trusted ids (some 40 MB) are broadcast, more
-    are joined by a shuffle.  The threshold is fitted on at most ``max_labels``
-    labelled documents.  To the driver go ``buckets`` counts and one score a
-    sampled id; to tasks the counts and the sampled ids.  A Python worker holds
-    a stretch of texts at a time, or one text that is longer.
+    are joined by a shuffle.  The threshold is fitted on all labelled documents,
+    or, only where a caller sets ``max_labels``, on that many by a hash of their
+    ids.  Up to ``few`` labelled ids are broadcast to pick their texts; with more,
+    every text is scored and the scores, not the texts, are shuffled to the
+    labels.  To the driver go ``buckets`` counts and a few numbers for each
+    million labels; to tasks the counts.  A Python worker holds a stretch of
+    texts at a time, or one text that is longer.
     """
     spark = docs.sparkSession
     tune(spark)
-    sample = labelled_sample(labels, max_labels)
+    known = agreed(labels).select(F.col("doc_id").cast("long").alias("id"), (F.col("a") == 1).alias("trusted"))
+    if max_labels is not None:
+        known = known.orderBy(F.xxhash64("id"), "id").limit(max_labels)
     # Ids that are null never join; by the second key they spread over all tasks.
     trusted_ids = agreed(labels).where("a = 1").select(F.col("doc_id").cast("long").alias("id"), F.lit(0).cast("long").alias("spread"), F.lit(True).alias("trusted"))
     n_trusted = trusted_ids.count()
@@ -206,19 +234,19 @@ def quality_rules(
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trusted = batch.column(2).to_numpy(zero_copy_only=False)
             for i, j, part in scan(batch.column(1)):
                 n, _, _, _, repeated = _base(part)
-                good = ~((n < 50) | (100 * repeated > 50 * n))
-                scores = _held_out(part, trusted[i:j], raw, target)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(scores)], names=["id", "score"]).filter(pa.array(good))
+                good = np.flatnonzero(~((n < 50) | (100 * repeated > 50 * n)))
+                ids = batch.column(0).slice(i, j - i).take(pa.array(good))
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, _held_out(part, good, raw, target))], names=["id", "as_other", "as_trusted"])
 
     threshold = -np.inf
     if n_trusted:
-        known = spark.createDataFrame(list(sample.items()), "id long, trusted int")
-        rows = source.join(F.broadcast(known), "id").select("id", "text", (F.col("trusted") == 1).alias("trusted"))
-        scored = [(sample[r[0]], r[1]) for r in rows.mapInArrow(fit, "id long, score double").groupBy("id").agg(F.min("score")).collect()]
-        threshold = separating(np.array([s for _, s in scored]), np.array([t == 1 for t, _ in scored])) if scored else -np.inf
+        n_known = known.count()
+        picked = source.join(F.broadcast(known.select("id")), "id", "left_semi") if n_known <= few else source.where("id IS NOT NULL")
+        both = picked.select("id", "text").mapInArrow(fit, "id long, as_other double, as_trusted double").join(known, "id")
+        score = F.when(F.col("trusted"), F.col("as_trusted")).otherwise(F.col("as_other"))
+        threshold = separating(both.groupBy("id", "trusted").agg(F.min(score).alias("score")), 1 + n_known // 1_000_000)
 
     others = [c for c in docs.columns if c not in (text_col, *names, "base_failed", "kept")]
     row = docs.select(F.struct(*others).alias("row") if others else F.struct(F.lit(0).alias("none")).alias("row"), F.col(text_col).alias("text"))

@@ -4,12 +4,14 @@ import math
 import random
 import tracemalloc
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from bitloom.llm import bytescan, decontaminate, ngram_join
 from bitloom.llm import quality_rules as Q
+from pyspark.sql import functions as F
 
 from . import brute
 
@@ -92,6 +94,57 @@ def test_unlabelled_documents_are_judged_right(spark):
     assert Counter((r.doc_id, r.score) for r in none.collect()) == Counter((r.doc_id, r.score) for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect())
 
 
+def test_threshold_is_fitted_on_every_labelled_document(spark):
+    """The 400 labelled ids of the greatest hashes, which a sample of 20,000 leaves out, are trusted and unlike the others that are."""
+    rng = random.Random(21)
+    ids = [r.id for r in spark.range(20_400).orderBy(F.xxhash64("id"), "id").collect()]
+    good, poor = (["".join(rng.choice(kind) for _ in range(3)) for _ in range(400)] for kind in ("abcdefgh", "stuvwxyz"))
+    rows = [(i, " ".join(rng.choices(good, k=60) if k % 2 else rng.choices(poor, k=60))) for k, i in enumerate(ids[:20_000])]
+    rows += [(i, " ".join(rng.choices(good, k=18) + rng.choices(poor, k=42))) for i in ids[20_000:]]
+    trusted = {i for k, i in enumerate(ids) if k % 2 or k >= 20_000}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in ids], "doc_id long, quality int, toxic int")
+    for few in (1_000_000, 0):
+        got = Q.quality_rules(docs, labels, few=few, texts=False).where("kept").select("doc_id").collect()
+        assert len(got) == len(trusted) and {r.doc_id for r in got} == trusted
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_separating_by_trying_every_threshold(spark, parts):
+    rng = random.Random(parts)
+    for kinds in ([True, False], [True], [False], []):
+        for n in (1, 2, 300):
+            rows = [(rng.randrange(60) / 8 + 2 * t, t) for t in (rng.choice(kinds) for _ in range(n if kinds else 0))]
+            got = Q.separating(spark.createDataFrame(rows, "score double, trusted boolean"), parts)
+            points = sorted({s for s, _ in rows})
+            if True not in kinds or not any(t for _, t in rows):
+                assert got == -math.inf
+                continue
+            if all(t for _, t in rows):
+                assert got == points[0]
+                continue
+            tried = [(0, 0.0, -points[0], points[0])]
+            for low, high in zip(points, points[1:]):
+                right = sum(Fraction(1, sum(u == t for _, u in rows)) * (1 if (s >= high) == t else 0) for s, t in rows)
+                tried.append((right - 1, high - low, -low, (low + high) / 2))
+            assert got == max(tried)[3]
+
+
+def test_held_out_scores_of_long_and_short_texts(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abé漢 ") for _ in range(k)) for k in (0, 1, 2, 3, 40, 400)]
+    counts = [grams(t, 64) for t in texts]
+    raw, target = sum(counts, Counter()) + Counter({3: 5}), sum(counts[3:], Counter())
+    arrays = [np.array([c[k] for k in range(64)], np.int64) for c in (raw, target)]
+    for step in (1 << 19, 100):
+        monkeypatch.setattr(bytescan, "STEP", step)
+        got = [Q._held_out(part, np.arange(part.n), *arrays) for _, _, part in bytescan.scan(pa.array(texts))]
+        as_other, as_trusted = np.concatenate(got, axis=1)
+        for k, own in enumerate(counts):
+            assert abs(as_other[k] - ratio(own, raw - own, target, 64)) < 1e-12
+            assert k < 3 or abs(as_trusted[k] - ratio(own, raw - own, target - own, 64)) < 1e-12
+
+
 @pytest.mark.parametrize("texts, bound", [(["a fair word or two, and more. " * 100] * 1400, 24 << 20), (["a fair word " * 700_000], 8_400_000 * 20), (["x" * 8_000_000], 8_000_000 * 6)])
 def test_memory_follows_a_stretch_or_the_longest_text(texts, bound):
     column = pa.array(texts)
