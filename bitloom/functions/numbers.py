@@ -24,20 +24,40 @@ def _plain(v: Column) -> Column:
     micro = F.round(v * 1e6).cast("long")
     digits = F.concat(F.floor(micro / 10).cast("string"), F.when(micro % 10 != 0, F.concat(F.lit("."), (micro % 10).cast("string"))).otherwise(""))
     tiny = F.when(micro == 0, "0.0").when(micro < 10, F.concat(micro.cast("string"), F.lit("e-06"))).otherwise(F.concat(digits, F.lit("e-05")))
-    whole = v.cast("decimal(38,0)").cast("string")
-    return F.when(v == F.floor(v.cast("decimal(38,7)")).cast("double"), whole).when(v < 1e-4, tiny).otherwise(trimmed)
+    return F.when(v == F.rint(v), _whole(v)).when(v < 1e-4, tiny).otherwise(trimmed)
 
 
-def numbers(text: Column) -> Column:
+def _whole(v: Column) -> Column:
+    """A whole double to the last digit; from 1e37 on its first 17 digits at most, then zeros."""
+    part = float(2**60)
+    high = F.rint(v / part - 0.5)
+    high = F.when(high * part > v, high - 1).when((high + 1) * part <= v, high + 1).otherwise(high)
+    exact = let(F.when(v < 1e37, high), lambda h: h.cast("long").cast("decimal(19,0)") * F.lit(2**60).cast("decimal(19,0)") + (v - h * part).cast("long").cast("decimal(19,0)"))
+    return F.when(v < part, v.cast("long").cast("string")).otherwise(F.coalesce(exact.cast("string"), F.format_string("%.0f", v)))
+
+
+def fixed(v: Column) -> Column:
+    """A double as SQL's printf writes it, from all its digits: whole numbers without a point, others to six places, without zeros at the end."""
+    head = F.floor((v - F.floor(v)) * 2.0**26) / 2.0**26  # both parts times a million are exact
+    millionths = let(head * 1e6, lambda p: let(F.struct(F.floor(p).alias("n"), (0.5 - (p - F.floor(p))).alias("lacks"), ((v - F.floor(v) - head) * 1e6).alias("tail")), _nearest))
+    text = let(millionths, lambda m: F.concat((F.floor(v) + F.floor(m / 1e6)).cast("string"), F.lit("."), F.lpad((m % 1000000).cast("string"), 6, "0")))
+    return F.when(v == F.rint(v), _whole(v)).otherwise(F.regexp_replace(text, "0+$", ""))
+
+
+def _nearest(p: Column) -> Column:
+    up = (p["tail"] > p["lacks"]) | ((p["tail"] == p["lacks"]) & (p["n"] % 2 == 1))
+    return p["n"] + up.cast("long")
+
+
+def numbers(text: Column, scales: list = SCALES, form=_plain) -> Column:
     """Values in the order of their strings. Doubles, as '1.1 lakh' shows: 110000.00000000001 is '110000.0'. Null has none."""
 
     def value(digits: Column, after: Column) -> Column:
         number = F.replace(digits, F.lit(","), F.lit("")).cast("double")
-        scale = None
-        for k, words in SCALES:
-            here = after.rlike("^(?:" + "|".join(words) + ")")
-            scale = F.when(here, float(k)) if scale is None else scale.when(here, float(k))
-        return let(number * F.coalesce(scale, F.lit(1.0)), _plain)
+        scale = F.lit(1.0)
+        for k, words in reversed(scales):
+            scale = F.when(after.rlike("^(?:" + "|".join(words) + ")"), float(k)).otherwise(scale)
+        return let(number * scale, form)
 
     def all_of(s: Column) -> Column:
         found = F.zip_with(F.regexp_extract_all(s, F.lit(_FORM), F.lit(1)), F.regexp_extract_all(s, F.lit(_FORM), F.lit(2)), lambda d, a: value(d, F.lower(a)))

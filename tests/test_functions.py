@@ -65,6 +65,24 @@ def test_numbers(spark):
     assert [r[0] for r in df.select(numbers_agree(numbers(F.col("a")), numbers(F.col("b")))).collect()] == [True, False, None, False]
 
 
+def test_long_numbers_keep_every_digit(spark):
+    texts = ["4879548823211410", "1152921504606846976", "909955422195631329054", "9223372036854775807", "9" * 36]
+    assert apply(spark, numbers, texts) == [[str(int(float(t)))] for t in texts]
+
+
+def test_numbers_as_sql_has_them(spark, tmp_path):
+    """Words that begin like a scale word, long numbers, other digits and halves of a millionth, against the query's own SQL."""
+    import duckdb
+    from bitloom.queries import QUERIES, SQL
+
+    texts = ["247.72 lacionta, 5 lakh 6 Millionen", "909955422195631329054 1152921504606846976", "५ 5५6", "37313329466.866 0.00001 5.0000001 0.0000005 2.50", "", None, "1,234.5 007"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.execute(SQL["numbers_plain"]).fetchall())
+    assert sorted(map(tuple, QUERIES["numbers_plain"](spark, str(tmp_path)).collect())) == want
+
+
 @pytest.mark.parametrize(
     "text, n",
     [
