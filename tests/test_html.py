@@ -1,4 +1,8 @@
-from bitloom.functions.html import decode_entities, html_text, parse_releases
+import re
+import time
+
+from bitloom.functions.html import FOOTER_LINE, decode_entities, html_text, parse_releases
+from bitloom.functions.text import JS_SPACE, PY_SPACE, strip
 from pyspark.sql import functions as F
 
 
@@ -61,3 +65,24 @@ def test_references(spark):
     assert [r[0] for r in df.select(decode_entities(F.col("a"))).collect()] == [b for _, b in rows]
     df = spark.createDataFrame([("<p>a</p>\r\n\n\n<div> b  <b>c</b></div> ",)], "a string")
     assert df.select(html_text(F.col("a"))).first()[0] == "a\n\nb c"
+
+
+def test_a_long_run_of_spaces_takes_no_longer_than_its_length(spark):
+    gap, began = "\xa0" * 300_000, time.monotonic()
+    (r,) = parse(spark, page("T", f"<p>{gap}a{gap}b</p>{gap}"))
+    assert r["body"] == f"a{gap}b" and time.monotonic() - began < 30
+
+
+def test_no_body_is_made_that_is_not_read(spark):
+    df = spark.createDataFrame([("1", page("Cotton", "x")), ("2", page("", "पाठ"))], "prid string, html string")
+    rel = parse_releases(df)
+    plan = rel.select("prid", "lang")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"{FOOTER_LINE})") == 1  # of pages without a title
+    assert sorted(map(tuple, rel.select("prid", "lang", "body").collect())) == [("1", "en", "x"), ("2", "hi", "पाठ")]
+
+
+def test_every_sign_of_space_is_trimmed(spark):
+    for space in (JS_SPACE, PY_SPACE):
+        signs = [chr(k) for k in range(0x3001) if re.fullmatch(f"[{space}]", chr(k), re.ASCII)] + ["\ufeff"] * (space == JS_SPACE)
+        df = spark.createDataFrame([(f"{s}\n a{s}\x00{s} \n{s}",) for s in signs], "x string")
+        assert len(signs) > 20 and [r[0] for r in df.select(strip(F.col("x"), space)).collect()] == [f"a{s}\x00" for s in signs]
