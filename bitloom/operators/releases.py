@@ -14,27 +14,32 @@ def release_groups(releases: DataFrame, pages: DataFrame, columns: list[str]) ->
 
     A linked page is read as the language asked for, whatever its script.  A
     release without a body has no group; a translation without one is left out;
-    of equal languages the last wins.  Linked pages are parsed once for each
-    language; then one join on the page and one shuffle back by release.
+    of equal languages the last wins.  Releases are parsed once with their bodies
+    (what they ask for needs none), linked pages once for all languages; then one
+    join on the page and one shuffle back by release.
     """
-    keep = releases.where(F.length("body") > 0)
-    asked = keep.select("prid", "lang", "translations", F.posexplode(F.array(*map(F.lit, columns)).cast("array<string>")).alias("at", "column")).where(F.col("column") != F.col("lang"))
-    asked = asked.select("prid", "at", "column", F.col("translations")[F.col("column")].alias("page")).where("page != ''")
-    wanted = asked.select(F.col("page").alias("prid"), F.col("column").alias("hint")).distinct()
-    parsed = _parsed(pages, wanted)
-    sides = asked.join(parsed, (asked["page"] == parsed["linked"]) & (asked["column"] == parsed["hint"])).where(F.length("body") > 0)
-    value = F.struct(F.col("linked").alias("prid"), "title", "body")
+    page = lambda column, at: F.struct(at.alias("at"), column.alias("column"), F.col("translations")[column].alias("page"))
+    asks = F.filter(F.transform(F.array(*map(F.lit, columns)).cast("array<string>"), page), lambda a: (a["column"] != F.col("lang")) & (a["page"] != ""))
+    asked = releases.select("prid", F.inline(asks)).distinct()
+    sides = asked.join(_parsed(pages, asked), F.col("page") == F.col("linked"))
+    value = F.struct("linked", "title", "body")
     linked = sides.groupBy("prid").agg(F.array_sort(F.collect_list(F.struct("at", F.col("column").alias("key"), value.alias("value")))).alias("sides"))
     own = F.struct(F.col("lang").alias("key"), F.struct("prid", "title", "body").alias("value"))
-    others = F.transform(F.coalesce("sides", F.array().cast("array<struct<at:int,key:string,value:struct<prid:string,title:string,body:string>>>")), lambda s: F.struct(s["key"], s["value"]))
-    return keep.join(linked, "prid", "left").select("prid", "date", "ministry", F.map_from_entries(F.concat(F.array(own), others)).alias("byLang"))
+    pair = lambda s: F.struct(s["key"].alias("key"), F.struct(s["value"]["linked"].alias("prid"), s["value"]["title"].alias("title"), s["value"]["body"].alias("body")).alias("value"))
+    mine = F.filter("sides", lambda s: (s["key"] != F.col("lang")) & (F.col("translations")[s["key"]] == s["value"]["linked"]))
+    pairs = F.when(F.col("sides").isNull(), F.array(own)).otherwise(F.concat(F.array(own), F.transform(mine, pair)))
+    return _with_body(releases).join(linked, "prid", "left").select("prid", "date", "ministry", F.map_from_entries(pairs).alias("byLang"))
 
 
-def _parsed(pages: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Title and body of each page asked for; the language asked for does not change them."""
-    chosen = pages.join(wanted.select("prid").distinct(), "prid", "left_semi")
-    text = parse_releases(chosen).select("prid", "title", "body")
-    return wanted.join(text, "prid").select(F.col("prid").alias("linked"), "hint", "title", "body")
+def _with_body(rows: DataFrame) -> DataFrame:
+    """Rows that have a body. A plain filter would be moved below the step that makes the body, and make it twice."""
+    return rows.select(*(c for c in rows.columns if c != "body"), F.explode(F.filter(F.array("body"), lambda b: F.length(b) > 0)).alias("body"))
+
+
+def _parsed(pages: DataFrame, asked: DataFrame) -> DataFrame:
+    """Title and body of each page asked for that has one; the language asked for does not change them."""
+    chosen = pages.join(asked.select(F.col("page").alias("prid")).distinct(), "prid", "left_semi")
+    return _with_body(parse_releases(chosen).select(F.col("prid").alias("linked"), "title", "body"))
 
 
 def link_report(releases: DataFrame) -> DataFrame:

@@ -146,6 +146,21 @@ def test_release_groups(spark):
     assert [r.prid for r in releases.stale_pages(pages, F.lit("2025-11-30").cast("timestamp")).orderBy("prid").collect()] == ["1", "2", "4"]
 
 
+def test_a_release_is_parsed_once_for_its_group_and_once_as_a_linked_page(spark):
+    pages = spark.createDataFrame([("1", page("Cotton", "<p>Body</p>", link(2, "Hindi"))), ("2", page("कपास", "<p>पाठ</p>")), ("3", page("T", "", link(2, "Hindi")))], schemas.PAGE)
+    from bitloom.functions.html import FOOTER_LINE, parse_releases
+
+    groups = releases.release_groups(parse_releases(pages, F.lit("en")), pages, ["hi", "ta", "en"])
+    plan = groups._jdf.queryExecution().optimizedPlan()
+    nodes = [plan]
+    for node in nodes:
+        nodes.extend(node.children().apply(k) for k in range(node.children().size()))
+    made = [n for n in nodes if f"{FOOTER_LINE})" in n.verboseString(10**6)]
+    assert "Filter" not in {n.nodeName() for n in made}
+    assert sum(n.verboseString(10**6).count(f"{FOOTER_LINE})") for n in made) == 6  # one of two for a release and for a linked page; two more for the language of an untitled one
+    assert {r.prid: sorted(r.byLang) for r in groups.collect()} == {"1": ["en", "hi"], "2": ["hi"]}
+
+
 def test_fold_and_documents(spark):
     pair = lambda en, text, lang, office, k: (lang, en, text, 0.9, None, "normal", "p", "1", "2", "05 NOV 2018 2:20PM by Desk", office, k)
     rows = [pair("Friends", "मित्रों", "hi", "a", 3), pair("Friends", "मित्रों", "hi", "b", 1), pair("Friends", "Friends", "hi", "a", 2), pair("x", "y", "doi", "a", 5), pair("Hello", "नमस्ते", "hi", "a", 4)]
