@@ -94,6 +94,26 @@ def test_sentences(text, n):
     assert len(sentences_of(text)) == n
 
 
+def test_a_batch_is_split_a_few_texts_at_a_time():
+    """Python's own memory does not grow with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from bitloom.functions.split import sentences
+
+    def peak(n):
+        texts = pa.array(["One two three. Four five six.\nSeven eight. " * 100, None, ""] * n)
+        tracemalloc.start()
+        found = sentences.func(texts)
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == 3 * n and found[0].as_py() == ["One two three.", "Four five six.", "Seven eight."] * 100 and found[1].as_py() == found[2].as_py() == []
+        return top
+
+    assert peak(2000) < 2 * peak(20) + 500_000
+    assert len(sentences.func(pa.array([], pa.string()))) == 0
+
+
 def test_chrf_and_wilson(spark):
     df = spark.createDataFrame([("the cat sat on the mat", "the cat sat on the mat"), ("abc", ""), (None, "abc"), ("ab", "ba"), ("the cat", "a dog ran")], "a string, b string")
     got = [r[0] for r in df.select(chrf("a", "b")).collect()]
